@@ -8,8 +8,9 @@ so that a stage's lineage ends with it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pliego.llm import mixing, quality, secrets
+from pliego.llm import decontaminate, jaccard, mixing, quality, secrets
 from pliego.llm.cluster import saved, table
 
 
@@ -18,9 +19,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: that with the smallest doc_id."""
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked."""
-    return secrets.redact(docs)
+    """All documents, with secrets masked and n_chars counted again where the text changed."""
+    masked = secrets.redact(docs)
+    return masked.withColumn("n_chars", F.when(F.col("text").contains(secrets.MASK), F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +40,13 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_training_order(mixing.mix(docs)).select("doc_id", "source", "size", "source_size", "target", "taken", "position")
 
 
-STAGES = [("quality rules", quality_rules), ("secret scans", secret_scan), ("mixing", source_mix)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", jaccard_join),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secret_scan),
+    ("mixing sources to target weights", source_mix),
+]
 
 #: The stages' models and similarity search are beyond SQL.
 ORACLE_SQL = None

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pliego.llm import decontaminate, jaccard, language, mixing, quality, scoring, secrets, token_counts
+from pliego.llm import chat, decontaminate, jaccard, language, mixing, pii, quality, scoring, secrets, token_counts
 from pliego.llm.cluster import table
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -34,6 +38,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_calls(table(spark, sf_dir, "conversations")).withColumnsRenamed({"conv": "conv_id"})
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,11 +56,13 @@ def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_ppm_scoring": op10_ppm_scoring,

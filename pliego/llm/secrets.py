@@ -141,7 +141,10 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return rows.mapInArrow(find, f"`{key}` {rows.schema[key].dataType.simpleString()}, n_assign long, n_access long, n_hex long, n_linked long, base string, spans string")
 
 
-def redact_text(text: str, mask: str = "[SECRET]") -> str:
+MASK = "[SECRET]"
+
+
+def redact_text(text: str, mask: str = MASK) -> str:
     """text with every reported span replaced; spans that overlap are replaced once."""
     base = base_spans(text)
     spans = sorted([*base, *(s for s, _ in linked_spans(text, base))])
