@@ -14,7 +14,11 @@ from pliego.functions.numbers import competition_bucket, gap, portfolio_label, p
 
 #: A product that names nothing: left out of what can be recovered.
 UNKNOWN_PRODUCT = "producto no identificable - especificación insuficiente"
-REVENUE = product(F.col("flag_adjudicado"), F.col("num_unidades"), F.col("precio_unitario"))
+
+
+def revenue() -> Column:
+    """What a row's supplier earned."""
+    return product(F.col("flag_adjudicado"), F.col("num_unidades"), F.col("precio_unitario"))
 
 
 def _mine(base: DataFrame, entity) -> DataFrame:
@@ -44,7 +48,7 @@ def product_table(base: DataFrame, entity) -> DataFrame:
     out = mine.groupBy("producto").agg(
         F.count("*").alias("ofertas"),
         F.sum("flag_adjudicado").alias("adjudicaciones"),
-        F.coalesce(F.sum(REVENUE), F.lit(0.0)).alias("revenue"),
+        F.coalesce(F.sum(revenue()), F.lit(0.0)).alias("revenue"),
         F.avg("flag_adjudicado").alias("win_rate"),
         F.avg(product(F.col("num_unidades"), F.col("precio_unitario"))).alias("ticket_promedio"),
         F.avg("n_competidores").alias("n_competidores_promedio"),
@@ -101,7 +105,7 @@ def annual_summary(universe: DataFrame, entity) -> DataFrame:
     """A row a year (null: (s/a)), and a Total whose ratios are made anew and whose means are weighted."""
     mine = _mine(universe, entity).join(item_stats(universe).select("item_key", "n_competidores"), "item_key", "left")
     lost = F.col("precio_unitario_ganador").isNotNull() & (F.coalesce("flag_adjudicado", F.lit(0)) == 0)
-    mine = mine.select(F.coalesce(F.col("anio").cast("string"), F.lit("(s/a)")).alias("anio"), F.coalesce("n_competidores", F.lit(0)).alias("n_comp"), F.col("flag_adjudicado").alias("won"), F.when(lost, 1).otherwise(0).alias("lost"), REVENUE.alias("rev"), rival_revenue(F.col("num_unidades"), F.col("flag_adjudicado"), F.col("precio_unitario_ganador")).alias("rev_comp"))
+    mine = mine.select(F.coalesce(F.col("anio").cast("string"), F.lit("(s/a)")).alias("anio"), F.coalesce("n_competidores", F.lit(0)).alias("n_comp"), F.col("flag_adjudicado").alias("won"), F.when(lost, 1).otherwise(0).alias("lost"), revenue().alias("rev"), rival_revenue(F.col("num_unidades"), F.col("flag_adjudicado"), F.col("precio_unitario_ganador")).alias("rev_comp"))
     sums = [F.avg("n_comp").alias("comp_item"), F.count("*").alias("ofertas"), F.sum("lost").alias("adj_comp"), F.coalesce(F.sum("won"), F.lit(0)).alias("adjudicadas"), F.sum("rev_comp").alias("rev_comp"), F.sum("rev").alias("rev_promedon")]
     years = mine.groupBy("anio").agg(*sums)
     total = mine.agg(*sums).select(F.lit("Total").alias("anio"), "*")
@@ -202,8 +206,8 @@ def competitor_stats(universe: DataFrame, entity) -> DataFrame:
         ratio(F.sum("flag_adjudicado"), F.count("*")).alias("wr"),
         F.count_distinct("producto").alias("n_productos"),
         F.count_distinct("rut_comprador").alias("n_compradores"),
-        F.sum(REVENUE).alias("revenue"),
-        ratio(F.sum(REVENUE), F.sum("flag_adjudicado")).alias("avg_ticket"),
+        F.sum(revenue()).alias("revenue"),
+        ratio(F.sum(revenue()), F.sum("flag_adjudicado")).alias("avg_ticket"),
         F.count_if(by_me).alias("promedon_won"),
         F.count_if(by_it).alias("this_won"),
         F.count_if(third).alias("other_won"),
@@ -254,12 +258,12 @@ def split_summary(universe: DataFrame, entity) -> DataFrame:
     """Volumes of the A and the B products."""
     comp = item_stats(universe).select("item_key", "n_competidores")
     mine = _mine(universe, entity).join(comp, "item_key", "left")
-    return mine.groupBy("producto_segmento").agg(F.count_distinct(F.coalesce("producto", F.lit("\0"))).alias("n_productos"), F.count("*").alias("ofertas_promedon"), F.sum("flag_adjudicado").alias("adjudicaciones"), ratio(F.sum("flag_adjudicado"), F.count("*")).alias("wr_promedon"), F.avg("n_competidores").alias("comp_item"), F.sum(REVENUE).alias("revenue"))
+    return mine.groupBy("producto_segmento").agg(F.count_distinct(F.coalesce("producto", F.lit("\0"))).alias("n_productos"), F.count("*").alias("ofertas_promedon"), F.sum("flag_adjudicado").alias("adjudicaciones"), ratio(F.sum("flag_adjudicado"), F.count("*")).alias("wr_promedon"), F.avg("n_competidores").alias("comp_item"), F.sum(revenue()).alias("revenue"))
 
 
 def executive_kpis(universe: DataFrame, entity) -> DataFrame:
     mine = F.col("rut_proveedor") == entity
-    rev = F.sum(F.when(mine, REVENUE).otherwise(0.0))
+    rev = F.sum(F.when(mine, revenue()).otherwise(0.0))
     rival = F.sum(F.when(mine, rival_revenue(F.col("num_unidades"), F.col("flag_adjudicado"), F.col("precio_unitario_ganador"))).otherwise(0.0))
     won = F.sum(F.when(mine, F.col("flag_adjudicado")).otherwise(0))
     return universe.agg(
