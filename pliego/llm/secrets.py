@@ -90,7 +90,7 @@ def _weak_parts(text: str, base: list[Span]) -> list[Span]:
 
 def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[tuple[Span, int]]:
     """The weak parts that a complementary part within reach and scope completes, each with the number of kinds that do."""
-    if not PART_HINT.search(text):
+    if not base and not PART_HINT.search(text):
         return []
     weak = _weak_parts(text, base)
     if not weak:
