@@ -445,14 +445,14 @@ def deflate(spark, sf_dir):
 
 @query(
     "progress_rate",
-    f"""with s as (select user_id % 50 as run, epoch_ms(ts) / 1000.0 as ts, event_id as processed from events),
+    f"""with s as (select user_id % 50 as run, epoch_us(ts) / 1000000.0 as ts, event_id as processed from events),
 d as (select *, processed - lag(processed) over w as dn, ts - lag(ts) over w as dt, row_number() over (partition by run order by ts desc, processed desc) as back from s window w as (partition by run order by ts, processed)),
 g as (select run, count(*) as samples, arg_max(processed, (ts, processed)) as processed, coalesce(sum(dn) filter (where dn > 0 and dt > 0 and dt < 3600 and back < 20), 0) as dn,
     coalesce(sum(dt) filter (where dn > 0 and dt > 0 and dt < 3600 and back < 20), 0) as dt, coalesce(sum(dt) filter (where dn > 0 and dt > 0 and dt < 3600), 0) as active from d group by 1 having count(*) >= 2)
 select run, samples, processed, {cut('coalesce(dn / nullif(dt, 0) * 60, 0)')} as rate_per_min, {cut('active')} as active_secs from g""",
 )
 def progress_rate(spark, sf_dir):
-    samples = table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("run"), (F.unix_millis(F.col("ts").cast("timestamp")) / 1000.0).alias("ts"), F.col("event_id").alias("processed"), F.lit(None).cast("bigint").alias("total"))
+    samples = table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("run"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000.0).alias("ts"), F.col("event_id").alias("processed"), F.lit(None).cast("bigint").alias("total"))
     return progress.rates(samples, "run").drop("eta_secs")
 
 
