@@ -66,7 +66,7 @@ def price_ranks(base: DataFrame) -> DataFrame:
 
 def price_table(base: DataFrame, entity) -> DataFrame:
     """entity's items with rival quantiles, ranks, gaps and the price segment."""
-    mine = _mine(base, entity).select("item_key", "anio", "producto", "rut_comprador", "nombre_comprador", F.col("precio_unitario").alias("precio_promedon"), "num_unidades", F.col("flag_adjudicado").alias("promedon_gano"), "precio_unitario_ganador")
+    mine = _mine(base, entity).select("item_key", "anio", "producto", "rut_comprador", "nombre_comprador", F.col("precio_unitario").alias("precio_entidad"), "num_unidades", F.col("flag_adjudicado").alias("entidad_gano"), "precio_unitario_ganador")
     rivals = base.filter((F.col("rut_proveedor") != entity) & F.col("item_key").isNotNull()).groupBy("item_key").agg(
         F.percentile("precio_unitario", 0.25).alias("p25"),
         F.percentile("precio_unitario", 0.5).alias("p50"),
@@ -77,11 +77,11 @@ def price_table(base: DataFrame, entity) -> DataFrame:
     ranks = _mine(price_ranks(base), entity).select("item_key", "precio_rank")
     out = mine.join(rivals, "item_key", "left").join(ranks, "item_key", "left")
     out = (
-        out.withColumn("gap", gap(F.col("precio_promedon"), F.col("p25")))
-        .withColumn("gap_to_win", gap(F.col("precio_unitario_ganador"), F.col("precio_promedon")))
-        .withColumn("gap_to_lose", gap(F.col("precio_siguiente_ganador"), F.col("precio_promedon")))
+        out.withColumn("gap", gap(F.col("precio_entidad"), F.col("p25")))
+        .withColumn("gap_to_win", gap(F.col("precio_unitario_ganador"), F.col("precio_entidad")))
+        .withColumn("gap_to_lose", gap(F.col("precio_siguiente_ganador"), F.col("precio_entidad")))
     )
-    return out.withColumn("diagnostico", price_segment(F.col("promedon_gano"), F.col("gap_to_lose"), F.col("gap_to_win"))).withColumn("competition_bucket", competition_bucket(F.col("n_competidores")))
+    return out.withColumn("diagnostico", price_segment(F.col("entidad_gano"), F.col("gap_to_lose"), F.col("gap_to_win"))).withColumn("competition_bucket", competition_bucket(F.col("n_competidores")))
 
 
 def product_split(products: DataFrame) -> DataFrame:
@@ -106,11 +106,11 @@ def annual_summary(universe: DataFrame, entity) -> DataFrame:
     mine = _mine(universe, entity).join(item_stats(universe).select("item_key", "n_competidores"), "item_key", "left")
     lost = F.col("precio_unitario_ganador").isNotNull() & (F.coalesce("flag_adjudicado", F.lit(0)) == 0)
     mine = mine.select(F.coalesce(F.col("anio").cast("string"), F.lit("(s/a)")).alias("anio"), F.coalesce("n_competidores", F.lit(0)).alias("n_comp"), F.col("flag_adjudicado").alias("won"), F.when(lost, 1).otherwise(0).alias("lost"), revenue().alias("rev"), rival_revenue(F.col("num_unidades"), F.col("flag_adjudicado"), F.col("precio_unitario_ganador")).alias("rev_comp"))
-    sums = [F.avg("n_comp").alias("comp_item"), F.count("*").alias("ofertas"), F.sum("lost").alias("adj_comp"), F.coalesce(F.sum("won"), F.lit(0)).alias("adjudicadas"), F.sum("rev_comp").alias("rev_comp"), F.sum("rev").alias("rev_promedon")]
+    sums = [F.avg("n_comp").alias("comp_item"), F.count("*").alias("ofertas"), F.sum("lost").alias("adj_comp"), F.coalesce(F.sum("won"), F.lit(0)).alias("adjudicadas"), F.sum("rev_comp").alias("rev_comp"), F.sum("rev").alias("rev_entidad")]
     years = mine.groupBy("anio").agg(*sums)
     total = mine.agg(*sums).select(F.lit("Total").alias("anio"), "*")
     out = years.unionByName(total)
-    return out.withColumn("wr_promedon", ratio(F.col("adjudicadas"), F.col("ofertas"))).withColumn("share_promedon", ratio(F.col("rev_promedon"), F.col("rev_promedon") + F.col("rev_comp")))
+    return out.withColumn("wr_entidad", ratio(F.col("adjudicadas"), F.col("ofertas"))).withColumn("share_entidad", ratio(F.col("rev_entidad"), F.col("rev_entidad") + F.col("rev_comp")))
 
 
 def optimal_discount(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -120,8 +120,8 @@ def optimal_discount(rows: DataFrame, keys: list[str]) -> DataFrame:
     among equals wins; a group without revenue is absent. The grid meets groups, not pairs of rows:
     each row is summed into the grid point from which on it counts, and running sums do the rest.
     """
-    rows = rows.filter(F.col("gap_to_win").isNotNull() & F.col("num_unidades").isNotNull() & F.col("precio_promedon").isNotNull())
-    rows = rows.withColumn("value", product(F.col("num_unidades"), F.col("precio_promedon")))
+    rows = rows.filter(F.col("gap_to_win").isNotNull() & F.col("num_unidades").isNotNull() & F.col("precio_entidad").isNotNull())
+    rows = rows.withColumn("value", product(F.col("num_unidades"), F.col("precio_entidad")))
     grid = F.transform(F.sequence(F.lit(1), F.lit(80)), lambda d: d)
     first = F.get(F.filter(grid, lambda d: d / 100.0 > -F.col("gap_to_win")), F.lit(0))
     steps = rows.withColumn("d", first).filter("d is not null").groupBy(*keys, "d").agg(F.sum("value").alias("v"), F.count("*").alias("n"))
@@ -135,11 +135,11 @@ def optimal_discount(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def optimal_uplift(rows: DataFrame, keys: list[str]) -> DataFrame:
     """For each group: the uplift of 0..80 % with the most revenue from the items that stay below their next rival."""
-    rows = rows.filter(F.col("num_unidades").isNotNull() & F.col("precio_promedon").isNotNull())
-    rows = rows.withColumn("value", product(F.col("num_unidades"), F.col("precio_promedon")))
+    rows = rows.filter(F.col("num_unidades").isNotNull() & F.col("precio_entidad").isNotNull())
+    rows = rows.withColumn("value", product(F.col("num_unidades"), F.col("precio_entidad")))
     rival = F.col("precio_siguiente_ganador")
     # The points at which the item is kept are the first ones: their number says which.
-    kept = F.aggregate(F.sequence(F.lit(0), F.lit(80)), F.lit(0), lambda n, u: n + F.when(rival.isNull() | (F.col("precio_promedon") * (1 + u / 100.0) < rival), 1).otherwise(0))
+    kept = F.aggregate(F.sequence(F.lit(0), F.lit(80)), F.lit(0), lambda n, u: n + F.when(rival.isNull() | (F.col("precio_entidad") * (1 + u / 100.0) < rival), 1).otherwise(0))
     steps = rows.withColumn("u", kept - 1).filter("u >= 0").groupBy(*keys, "u").agg(F.sum("value").alias("v"), F.count("*").alias("n"))
     w = Window.partitionBy(*keys).orderBy(F.col("u").desc())
     steps = steps.withColumn("v", F.sum("v").over(w)).withColumn("n", F.sum("n").over(w))
@@ -151,16 +151,16 @@ def optimal_uplift(rows: DataFrame, keys: list[str]) -> DataFrame:
 def price_segments(prices: DataFrame) -> DataFrame:
     """A row for each price segment that has items: volumes, medians, revenues, and the best price move."""
     key = ["diagnostico"]
-    rev = product(F.col("promedon_gano"), F.col("num_unidades"), F.col("precio_promedon"))
-    lost = F.col("precio_unitario_ganador").isNotNull() & (F.coalesce("promedon_gano", F.lit(0)) == 0)
+    rev = product(F.col("entidad_gano"), F.col("num_unidades"), F.col("precio_entidad"))
+    lost = F.col("precio_unitario_ganador").isNotNull() & (F.coalesce("entidad_gano", F.lit(0)) == 0)
     out = prices.groupBy(*key).agg(
         F.avg(F.coalesce("n_competidores", F.lit(0))).alias("comp_item"),
         F.count("*").alias("ofertas"),
         F.count_if(lost).alias("adj_comp"),
-        F.sum(F.coalesce("promedon_gano", F.lit(0))).alias("adjudicadas"),
+        F.sum(F.coalesce("entidad_gano", F.lit(0))).alias("adjudicadas"),
         F.median("gap_to_lose").alias("delta_win_med"),
         F.median("gap_to_win").alias("delta_lose_med"),
-        F.sum(rival_revenue(F.col("num_unidades"), F.col("promedon_gano"), F.col("precio_unitario_ganador"))).alias("rev_comp"),
+        F.sum(rival_revenue(F.col("num_unidades"), F.col("entidad_gano"), F.col("precio_unitario_ganador"))).alias("rev_comp"),
         F.sum(rev).alias("rev_actual"),
     )
     s = F.substring("diagnostico", 1, 2)
@@ -208,14 +208,14 @@ def competitor_stats(universe: DataFrame, entity) -> DataFrame:
         F.count_distinct("rut_comprador").alias("n_compradores"),
         F.sum(revenue()).alias("revenue"),
         ratio(F.sum(revenue()), F.sum("flag_adjudicado")).alias("avg_ticket"),
-        F.count_if(by_me).alias("promedon_won"),
+        F.count_if(by_me).alias("entidad_won"),
         F.count_if(by_it).alias("this_won"),
         F.count_if(third).alias("other_won"),
         F.count_if(F.col("rut_ganador").isNull()).alias("unawarded"),
-        F.sum(F.when(by_me, at_stake).otherwise(0.0)).alias("rev_promedon_won"),
+        F.sum(F.when(by_me, at_stake).otherwise(0.0)).alias("rev_entidad_won"),
         F.sum(F.when(by_it, at_stake).otherwise(0.0)).alias("rev_this_won"),
         F.sum(F.when(third, at_stake).otherwise(0.0)).alias("rev_other_won"),
-        ratio(F.count_if(by_me), F.count("*")).alias("wr_promedon_h2h"),
+        ratio(F.count_if(by_me), F.count("*")).alias("wr_entidad_h2h"),
         F.median(relative).alias("price_rel_median"),
         ratio(F.count_if(F.col("producto_segmento") == "A"), n_ab).alias("pct_a"),
         ratio(F.count_if(F.col("producto_segmento") == "B"), n_ab).alias("pct_b"),
@@ -225,17 +225,17 @@ def competitor_stats(universe: DataFrame, entity) -> DataFrame:
 def head_to_head(stats: DataFrame, entity, top: int = 15) -> DataFrame:
     """The top rivals by revenue: who won the items, and the revenue, of each, in percent."""
     best = stats.filter(F.col("rut_proveedor") != entity).orderBy(F.col("revenue").desc(), "rut_proveedor").limit(top)
-    money = F.col("rev_promedon_won") + F.col("rev_this_won") + F.col("rev_other_won")
+    money = F.col("rev_entidad_won") + F.col("rev_this_won") + F.col("rev_other_won")
     share = lambda c: (ratio(F.col(c), F.col("n_ofertas")) * 100).alias("pct_" + c)
     part = lambda c: (ratio(F.col(c), money) * 100).alias("pct_" + c)
-    return best.select("rut_proveedor", "nombre_proveedor", *[share(c) for c in ("promedon_won", "this_won", "other_won", "unawarded")], *[part(c) for c in ("rev_promedon_won", "rev_this_won", "rev_other_won")])
+    return best.select("rut_proveedor", "nombre_proveedor", *[share(c) for c in ("entidad_won", "this_won", "other_won", "unawarded")], *[part(c) for c in ("rev_entidad_won", "rev_this_won", "rev_other_won")])
 
 
 def recoverable(prices: DataFrame, base: DataFrame) -> DataFrame:
     """The L1 items with their winner, the discount they need and the revenue it would bring."""
     rows = prices.filter(F.substring("diagnostico", 1, 2) == "L1").join(winners(base), "item_key", "left")
     rows = rows.filter(~F.col("producto").eqNullSafe(UNKNOWN_PRODUCT) & F.col("nombre_comprador").isNotNull())
-    return rows.withColumn("descuento_requerido", -F.col("gap_to_win")).withColumn("revenue_recuperable", product(F.col("num_unidades"), F.col("precio_promedon")) * (1 - F.col("descuento_requerido")))
+    return rows.withColumn("descuento_requerido", -F.col("gap_to_win")).withColumn("revenue_recuperable", product(F.col("num_unidades"), F.col("precio_entidad")) * (1 - F.col("descuento_requerido")))
 
 
 def recoverable_by(l1: DataFrame, keys: list[str], top: int = 15) -> DataFrame:
@@ -258,7 +258,7 @@ def split_summary(universe: DataFrame, entity) -> DataFrame:
     """Volumes of the A and the B products."""
     comp = item_stats(universe).select("item_key", "n_competidores")
     mine = _mine(universe, entity).join(comp, "item_key", "left")
-    return mine.groupBy("producto_segmento").agg(F.count_distinct(F.coalesce("producto", F.lit("\0"))).alias("n_productos"), F.count("*").alias("ofertas_promedon"), F.sum("flag_adjudicado").alias("adjudicaciones"), ratio(F.sum("flag_adjudicado"), F.count("*")).alias("wr_promedon"), F.avg("n_competidores").alias("comp_item"), F.sum(revenue()).alias("revenue"))
+    return mine.groupBy("producto_segmento").agg(F.count_distinct(F.coalesce("producto", F.lit("\0"))).alias("n_productos"), F.count("*").alias("ofertas_entidad"), F.sum("flag_adjudicado").alias("adjudicaciones"), ratio(F.sum("flag_adjudicado"), F.count("*")).alias("wr_entidad"), F.avg("n_competidores").alias("comp_item"), F.sum(revenue()).alias("revenue"))
 
 
 def executive_kpis(universe: DataFrame, entity) -> DataFrame:
@@ -268,11 +268,11 @@ def executive_kpis(universe: DataFrame, entity) -> DataFrame:
     won = F.sum(F.when(mine, F.col("flag_adjudicado")).otherwise(0))
     return universe.agg(
         F.count("*").alias("n_ofertas_totales"),
-        F.count_if(mine).alias("n_ofertas_promedon"),
+        F.count_if(mine).alias("n_ofertas_entidad"),
         won.alias("n_adjudicadas"),
         ratio(won, F.count_if(mine)).alias("wr_global"),
-        rev.alias("revenue_promedon"),
-        ratio(rev, rev + rival).alias("share_promedon"),
+        rev.alias("revenue_entidad"),
+        ratio(rev, rev + rival).alias("share_entidad"),
         F.count_distinct(F.when(~mine, F.col("rut_proveedor"))).alias("n_competidores"),
         F.count_distinct("rut_comprador").alias("n_compradores"),
     )

@@ -72,13 +72,13 @@ portfolio as (select *, case segmento when 'Core' then 'P1 Segmento Core' when '
 ranked as (select *, case when precio_unitario is not null then rank() over (partition by item_key, precio_unitario is not null order by precio_unitario) end as precio_rank from base),
 rivals as (select item_key, quantile_cont(precio_unitario, 0.25) as p25, quantile_cont(precio_unitario, 0.5) as p50, quantile_cont(precio_unitario, 0.75) as p75,
     min(precio_unitario) as precio_siguiente_ganador, count(distinct rut_proveedor) as n_competidores from base where rut_proveedor <> 1 group by 1),
-gaps as (select m.item_key, m.anio, m.producto, m.rut_comprador, m.nombre_comprador, m.precio_unitario as precio_promedon, m.num_unidades, m.flag_adjudicado as promedon_gano,
+gaps as (select m.item_key, m.anio, m.producto, m.rut_comprador, m.nombre_comprador, m.precio_unitario as precio_entidad, m.num_unidades, m.flag_adjudicado as entidad_gano,
     m.precio_unitario_ganador, r.p25, r.p50, r.p75, r.precio_siguiente_ganador, r.n_competidores, k.precio_rank,
     (m.precio_unitario - r.p25) / nullif(r.p25, 0) as gap,
     (m.precio_unitario_ganador - m.precio_unitario) / nullif(m.precio_unitario, 0) as gap_to_win,
     (r.precio_siguiente_ganador - m.precio_unitario) / nullif(m.precio_unitario, 0) as gap_to_lose
     from base m left join rivals r using (item_key) left join ranked k on k.item_key = m.item_key and k.rut_proveedor = 1 where m.rut_proveedor = 1),
-prices as (select *, case when promedon_gano = 1 then
+prices as (select *, case when entidad_gano = 1 then
         case when gap_to_lose is null then 'W5 — Monopoly' when gap_to_lose < 0 then 'W4 — Lock-In' when gap_to_lose <= 0.05 then 'W1 — Aligned' when gap_to_lose <= 0.15 then 'W2 — Improvable' else 'W3 — Comp-Overshot' end
     else case when gap_to_win is null then 'D — Unawarded' when gap_to_win >= 0 then 'L3 — Lock-Out' when gap_to_win >= -0.15 then 'L1 — Recoverable' else 'L2 — Overshot' end end as diagnostico,
     case when n_competidores is null or n_competidores <= 2 then 'Low (≤2)' when n_competidores <= 4 then 'Mid (3-4)' else 'High (≥5)' end as competition_bucket from gaps),
@@ -88,7 +88,7 @@ universe as (select b.*, s.producto_segmento from base b join split s on b.produ
 first_winner as (select item_key, min({'r': rut_proveedor, 'n': nombre_proveedor}) as w from base where flag_adjudicado = 1 group by 1),
 winners as (select item_key, w.r as rut_ganador, w.n as nombre_ganador from first_winner),
 l1 as (select p.*, w.rut_ganador, w.nombre_ganador, -gap_to_win as descuento_requerido,
-    coalesce(num_unidades, 0) * coalesce(precio_promedon, 0) * (1 + gap_to_win) as revenue_recuperable
+    coalesce(num_unidades, 0) * coalesce(precio_entidad, 0) * (1 + gap_to_win) as revenue_recuperable
     from prices p left join winners w using (item_key)
     where diagnostico like 'L1%' and producto is distinct from 'producto no identificable - especificación insuficiente' and nombre_comprador is not null)
 """
@@ -97,15 +97,15 @@ l1 as (select p.*, w.rut_ganador, w.nombre_ganador, -gap_to_win as descuento_req
 def best_discount(rows: str, keys: str) -> str:
     """SQL of each group's best discount, by trying all of the grid."""
     return f"""(select {keys}, arg_max(d / 100.0, (r, -d)) as rate, arg_max(n, (r, -d)) as n_items, max(r) as revenue from (
-        select {keys}, d, round(sum(case when d / 100.0 > -gap_to_win then num_unidades * precio_promedon * (1 - d / 100.0) else 0 end), 6) as r,
+        select {keys}, d, round(sum(case when d / 100.0 > -gap_to_win then num_unidades * precio_entidad * (1 - d / 100.0) else 0 end), 6) as r,
         count(*) filter (where d / 100.0 > -gap_to_win) as n
-        from {rows}, (select unnest(range(1, 81)) as d) where gap_to_win is not null and num_unidades is not null and precio_promedon is not null
+        from {rows}, (select unnest(range(1, 81)) as d) where gap_to_win is not null and num_unidades is not null and precio_entidad is not null
         group by {keys}, d) group by {keys} having max(r) <> 0)"""
 
 
 def best_uplift(rows: str, keys: str) -> str:
-    kept = "(precio_siguiente_ganador is null or precio_promedon * (1 + u / 100.0) < precio_siguiente_ganador)"
+    kept = "(precio_siguiente_ganador is null or precio_entidad * (1 + u / 100.0) < precio_siguiente_ganador)"
     return f"""(select {keys}, arg_max(u / 100.0, (r, -u)) as rate, arg_max(n, (r, -u)) as n_items, max(r) as revenue from (
-        select {keys}, u, round(sum(case when {kept} then num_unidades * precio_promedon * (1 + u / 100.0) else 0 end), 6) as r, count(*) filter (where {kept}) as n
-        from {rows}, (select unnest(range(0, 81)) as u) where num_unidades is not null and precio_promedon is not null
+        select {keys}, u, round(sum(case when {kept} then num_unidades * precio_entidad * (1 + u / 100.0) else 0 end), 6) as r, count(*) filter (where {kept}) as n
+        from {rows}, (select unnest(range(0, 81)) as u) where num_unidades is not null and precio_entidad is not null
         group by {keys}, u) group by {keys} having max(r) <> 0)"""

@@ -59,10 +59,10 @@ def portfolio_segments(spark, sf_dir):
     return report.product_table(_base(spark, sf_dir), ENTITY).groupBy("segmento", "diagnostico").agg(F.count("*").alias("productos"), F.sum("revenue").alias("revenue"))
 
 
-_PRICE = "item_key, anio, producto, rut_comprador, num_unidades, promedon_gano, n_competidores, precio_rank, diagnostico, competition_bucket"
+_PRICE = "item_key, anio, producto, rut_comprador, num_unidades, entidad_gano, n_competidores, precio_rank, diagnostico, competition_bucket"
 
 
-@query("price_table", f"select {_PRICE}, {r('precio_promedon', 'precio_unitario_ganador', 'p25', 'p50', 'p75', 'precio_siguiente_ganador', 'gap', 'gap_to_win', 'gap_to_lose')} from prices")
+@query("price_table", f"select {_PRICE}, {r('precio_entidad', 'precio_unitario_ganador', 'p25', 'p50', 'p75', 'precio_siguiente_ganador', 'gap', 'gap_to_win', 'gap_to_lose')} from prices")
 def price_table(spark, sf_dir):
     return report.price_table(_base(spark, sf_dir), ENTITY).drop("nombre_comprador")
 
@@ -72,14 +72,14 @@ def price_rank(spark, sf_dir):
     return report.price_ranks(_base(spark, sf_dir)).select("item_key", "rut_proveedor", "precio_unitario", "precio_rank")
 
 
-@query("price_diagnosis", "select diagnostico, promedon_gano, count(*) as items from prices group by all")
+@query("price_diagnosis", "select diagnostico, entidad_gano, count(*) as items from prices group by all")
 def price_diagnosis(spark, sf_dir):
-    return report.price_table(_base(spark, sf_dir), ENTITY).groupBy("diagnostico", "promedon_gano").agg(F.count("*").alias("items"))
+    return report.price_table(_base(spark, sf_dir), ENTITY).groupBy("diagnostico", "entidad_gano").agg(F.count("*").alias("items"))
 
 
-@query("competition_bucket", "select competition_bucket, count(*) as items, cast(sum(promedon_gano) as bigint) as won from prices group by 1")
+@query("competition_bucket", "select competition_bucket, count(*) as items, cast(sum(entidad_gano) as bigint) as won from prices group by 1")
 def competition(spark, sf_dir):
-    return report.price_table(_base(spark, sf_dir), ENTITY).groupBy("competition_bucket").agg(F.count("*").alias("items"), F.sum("promedon_gano").alias("won"))
+    return report.price_table(_base(spark, sf_dir), ENTITY).groupBy("competition_bucket").agg(F.count("*").alias("items"), F.sum("entidad_gano").alias("won"))
 
 
 @query(
@@ -91,10 +91,10 @@ def competition(spark, sf_dir):
         case when rate is not null and rate <> 0 then revenue else rev_actual end as rev_opt,
         cast(case when rate is not null and rate <> 0 then n_items - adjudicadas else 0 end as bigint) as adj_adic
     from (select diagnostico, avg(coalesce(n_competidores, 0)) as comp_item, count(*) as ofertas,
-        count(*) filter (where precio_unitario_ganador is not null and promedon_gano = 0) as adj_comp, cast(sum(promedon_gano) as bigint) as adjudicadas,
+        count(*) filter (where precio_unitario_ganador is not null and entidad_gano = 0) as adj_comp, cast(sum(entidad_gano) as bigint) as adjudicadas,
         median(gap_to_lose) as delta_win_med, median(gap_to_win) as delta_lose_med,
-        coalesce(sum(num_unidades * precio_unitario_ganador) filter (where precio_unitario_ganador is not null and promedon_gano = 0), 0) as rev_comp,
-        sum(promedon_gano * coalesce(num_unidades, 0) * coalesce(precio_promedon, 0)) as rev_actual from prices group by 1) s
+        coalesce(sum(num_unidades * precio_unitario_ganador) filter (where precio_unitario_ganador is not null and entidad_gano = 0), 0) as rev_comp,
+        sum(entidad_gano * coalesce(num_unidades, 0) * coalesce(precio_entidad, 0)) as rev_actual from prices group by 1) s
     left join (select * from {best_uplift("(select * from prices where diagnostico[1:2] in ('W1', 'W2', 'W3'))", 'diagnostico')}
         union all select * from {best_discount("(select * from prices where diagnostico[1:2] in ('L1', 'L2'))", 'diagnostico')}) b using (diagnostico))""",
 )
@@ -102,13 +102,13 @@ def price_segment_summary(spark, sf_dir):
     return report.price_segments(report.price_table(_base(spark, sf_dir), ENTITY))
 
 
-_ANNUAL = "avg(coalesce(n_competidores, 0)) as comp_item, count(*) as ofertas, count(*) filter (where lost) as adj_comp, cast(coalesce(sum(flag_adjudicado), 0) as bigint) as adjudicadas, coalesce(sum(at_stake) filter (where lost), 0) as rev_comp, sum(revenue) as rev_promedon"
+_ANNUAL = "avg(coalesce(n_competidores, 0)) as comp_item, count(*) as ofertas, count(*) filter (where lost) as adj_comp, cast(coalesce(sum(flag_adjudicado), 0) as bigint) as adjudicadas, coalesce(sum(at_stake) filter (where lost), 0) as rev_comp, sum(revenue) as rev_entidad"
 
 
 @query(
     "annual_summary",
-    f"""select anio, ofertas, adj_comp, adjudicadas, {r('comp_item', 'rev_comp', 'rev_promedon')}, floor((adjudicadas / ofertas) * 1000 + 0.5378) / 1000 as wr_promedon,
-    floor((coalesce(rev_promedon / nullif(rev_promedon + rev_comp, 0), 0)) * 1000 + 0.5378) / 1000 as share_promedon from (
+    f"""select anio, ofertas, adj_comp, adjudicadas, {r('comp_item', 'rev_comp', 'rev_entidad')}, floor((adjudicadas / ofertas) * 1000 + 0.5378) / 1000 as wr_entidad,
+    floor((coalesce(rev_entidad / nullif(rev_entidad + rev_comp, 0), 0)) * 1000 + 0.5378) / 1000 as share_entidad from (
     select coalesce(cast(anio as varchar), '(s/a)') as anio, {_ANNUAL} from mine group by 1 union all select 'Total', {_ANNUAL} from mine)""",
 )
 def annual_summary(spark, sf_dir):
@@ -122,8 +122,8 @@ def ab_split(spark, sf_dir):
 
 @query(
     "ab_summary",
-    f"""select producto_segmento, count(distinct coalesce(m.producto, '')) as n_productos, count(*) as ofertas_promedon, cast(sum(flag_adjudicado) as bigint) as adjudicaciones,
-    floor((avg(flag_adjudicado)) * 1000 + 0.5378) / 1000 as wr_promedon, floor((avg(n_competidores)) * 1000 + 0.5378) / 1000 as comp_item, floor((sum(revenue)) * 1000 + 0.5378) / 1000 as revenue
+    f"""select producto_segmento, count(distinct coalesce(m.producto, '')) as n_productos, count(*) as ofertas_entidad, cast(sum(flag_adjudicado) as bigint) as adjudicaciones,
+    floor((avg(flag_adjudicado)) * 1000 + 0.5378) / 1000 as wr_entidad, floor((avg(n_competidores)) * 1000 + 0.5378) / 1000 as comp_item, floor((sum(revenue)) * 1000 + 0.5378) / 1000 as revenue
     from mine m join split s on m.producto is not distinct from s.producto group by 1""",
 )
 def ab_summary(spark, sf_dir):
@@ -134,11 +134,11 @@ _FOOTPRINT = """select rut_proveedor, nombre_proveedor, count(*) as n_ofertas, c
     count(distinct producto) as n_productos, count(distinct rut_comprador) as n_compradores,
     sum(flag_adjudicado * coalesce(num_unidades, 0) * coalesce(precio_unitario, 0)) as revenue,
     coalesce(sum(flag_adjudicado * coalesce(num_unidades, 0) * coalesce(precio_unitario, 0)) / nullif(sum(flag_adjudicado), 0), 0) as avg_ticket,
-    count(*) filter (where rut_ganador = 1) as promedon_won, count(*) filter (where rut_ganador = rut_proveedor) as this_won,
+    count(*) filter (where rut_ganador = 1) as entidad_won, count(*) filter (where rut_ganador = rut_proveedor) as this_won,
     count(*) filter (where rut_ganador <> 1 and rut_ganador <> rut_proveedor) as other_won, count(*) filter (where rut_ganador is null) as unawarded,
-    coalesce(sum(stake) filter (where rut_ganador = 1), 0) as rev_promedon_won, coalesce(sum(stake) filter (where rut_ganador = rut_proveedor), 0) as rev_this_won,
+    coalesce(sum(stake) filter (where rut_ganador = 1), 0) as rev_entidad_won, coalesce(sum(stake) filter (where rut_ganador = rut_proveedor), 0) as rev_this_won,
     coalesce(sum(stake) filter (where rut_ganador <> 1 and rut_ganador <> rut_proveedor), 0) as rev_other_won,
-    count(*) filter (where rut_ganador = 1) / count(*) as wr_promedon_h2h,
+    count(*) filter (where rut_ganador = 1) / count(*) as wr_entidad_h2h,
     median(case when rut_proveedor <> 1 and pp > 0 then (precio_unitario - pp) / pp end) as price_rel_median,
     count(*) filter (where producto_segmento = 'A') / count(*) as pct_a, count(*) filter (where producto_segmento = 'B') / count(*) as pct_b
     from (select u.*, w.rut_ganador, p.pp, coalesce(num_unidades, 0) * coalesce(precio_unitario_ganador, 0) as stake from universe u left join winners w using (item_key)
@@ -147,7 +147,7 @@ _FOOTPRINT = """select rut_proveedor, nombre_proveedor, count(*) as n_ofertas, c
 
 @query(
     "competitor_stats",
-    f"select rut_proveedor, nombre_proveedor, n_ofertas, n_adj, n_productos, n_compradores, promedon_won, this_won, other_won, unawarded, {r('wr', 'revenue', 'avg_ticket', 'rev_promedon_won', 'rev_this_won', 'rev_other_won', 'wr_promedon_h2h', 'price_rel_median', 'pct_a', 'pct_b')} from ({_FOOTPRINT})",
+    f"select rut_proveedor, nombre_proveedor, n_ofertas, n_adj, n_productos, n_compradores, entidad_won, this_won, other_won, unawarded, {r('wr', 'revenue', 'avg_ticket', 'rev_entidad_won', 'rev_this_won', 'rev_other_won', 'wr_entidad_h2h', 'price_rel_median', 'pct_a', 'pct_b')} from ({_FOOTPRINT})",
 )
 def competitor_stats(spark, sf_dir):
     return report.competitor_stats(report.with_split(_base(spark, sf_dir), ENTITY), ENTITY)
@@ -155,8 +155,8 @@ def competitor_stats(spark, sf_dir):
 
 @query(
     "head_to_head",
-    f"""select rut_proveedor, nombre_proveedor, {', '.join(f'floor((100 * {c} / n_ofertas) * 1000 + 0.5378) / 1000 as pct_{c}' for c in ('promedon_won', 'this_won', 'other_won', 'unawarded'))},
-    {', '.join(f'floor((coalesce(100 * {c} / nullif(rev_promedon_won + rev_this_won + rev_other_won, 0), 0)) * 1000 + 0.5378) / 1000 as pct_{c}' for c in ('rev_promedon_won', 'rev_this_won', 'rev_other_won'))}
+    f"""select rut_proveedor, nombre_proveedor, {', '.join(f'floor((100 * {c} / n_ofertas) * 1000 + 0.5378) / 1000 as pct_{c}' for c in ('entidad_won', 'this_won', 'other_won', 'unawarded'))},
+    {', '.join(f'floor((coalesce(100 * {c} / nullif(rev_entidad_won + rev_this_won + rev_other_won, 0), 0)) * 1000 + 0.5378) / 1000 as pct_{c}' for c in ('rev_entidad_won', 'rev_this_won', 'rev_other_won'))}
     from ({_FOOTPRINT}) where rut_proveedor <> 1 order by revenue desc, rut_proveedor limit 15""",
 )
 def head_to_head(spark, sf_dir):
@@ -210,9 +210,9 @@ def optimal_uplift(spark, sf_dir):
 
 @query(
     "executive_kpis",
-    """select count(*) as n_ofertas_totales, count(*) filter (where rut_proveedor = 1) as n_ofertas_promedon, cast(sum(flag_adjudicado) filter (where rut_proveedor = 1) as bigint) as n_adjudicadas,
-    floor((avg(flag_adjudicado) filter (where rut_proveedor = 1)) * 1000 + 0.5378) / 1000 as wr_global, floor(((select sum(revenue) from mine)) * 1000 + 0.5378) / 1000 as revenue_promedon,
-    floor(((select sum(revenue) / (sum(revenue) + sum(at_stake) filter (where lost)) from mine)) * 1000 + 0.5378) / 1000 as share_promedon,
+    """select count(*) as n_ofertas_totales, count(*) filter (where rut_proveedor = 1) as n_ofertas_entidad, cast(sum(flag_adjudicado) filter (where rut_proveedor = 1) as bigint) as n_adjudicadas,
+    floor((avg(flag_adjudicado) filter (where rut_proveedor = 1)) * 1000 + 0.5378) / 1000 as wr_global, floor(((select sum(revenue) from mine)) * 1000 + 0.5378) / 1000 as revenue_entidad,
+    floor(((select sum(revenue) / (sum(revenue) + sum(at_stake) filter (where lost)) from mine)) * 1000 + 0.5378) / 1000 as share_entidad,
     count(distinct rut_proveedor) filter (where rut_proveedor <> 1) as n_competidores, count(distinct rut_comprador) as n_compradores from universe""",
 )
 def executive_kpis(spark, sf_dir):
