@@ -39,6 +39,8 @@ ORDER, CONTEXTS, END = 4, 4000, 0xFF
 HEAD = 1 << 19
 #: Tokens of the corpus for each range of the exchanges, about; n-grams and words a task holds.
 RANGE_TOKENS, HELD = 4_000_000, 3_000_000
+#: Texts for each range in which the words' answers are added up.
+RANGE_TEXTS = 20_000
 #: Hash of the end token: no word's, as a word's hash comes from its bytes.
 END_TOKEN = 0x7E57_E4D0_0BAD_F00D
 
@@ -292,7 +294,8 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
     bounded_batches(spark)
     rows = docs.select(F.col(key).alias("key"), is_held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
     training = rows.filter(~F.col("held_out")).select("text")
-    length, ends = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.when(~F.col("held_out"), 1))).first()
+    length, ends, n_texts = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.when(~F.col("held_out"), 1)), F.count("*")).first()
+    text_ranges = max(1, n_texts // RANGE_TEXTS)
     ranges = max(1, -(-length // (5 * RANGE_TOKENS)))
     counts = saved(corpus_counts(training, ranges))
     totals = {r.kind: r for r in counts.groupBy("kind").agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).collect()}
@@ -361,17 +364,31 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
             logs.append(np.add.reduceat(m * np.log10(c + 1.0), f))
             found.append(np.add.reduceat(m * (c > 0), f))
         if not texts:
-            return pa.table({"text_key": pa.array([], pa.int64()), "logs": pa.array([], pa.float64()), "found": pa.array([], pa.int64())})
-        key, log, hits = np.concatenate(texts), np.concatenate(logs), np.concatenate(found)
+            return pa.table({c: pa.array([], k) for c, k in zip(("text_range", "texts", "logs", "found"), (pa.int32(), *[pa.binary()] * 3), strict=True)})
+        key, log, hits = np.concatenate(texts), np.concatenate(logs), np.concatenate(found).astype(np.int64)
         _, once = np.unique(key, return_index=True)  # a text that two tasks hold is asked for twice
-        return pa.table({"text_key": key[once], "logs": log[once], "found": hits[once].astype(np.int64)})
+        key, log, hits = key[once], log[once], hits[once]
+        place = range_of(key.view(U64), text_ranges)
+        by = np.argsort(place, kind="stable")
+        at = np.searchsorted(place[by], np.arange(text_ranges + 1))
+        used = np.flatnonzero(np.diff(at))
+        packed = [pa.array([x[by[at[r] : at[r + 1]]].tobytes() for r in used], pa.binary()) for x in (key, log, hits)]
+        return pa.table({"text_range": pa.array(used, pa.int32()), "texts": packed[0], "logs": packed[1], "found": packed[2]})
+
+    def add_up(answers: pa.Table) -> pa.Table:
+        whole = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in answers[c].to_pylist()])
+        key, log, hits = whole("texts", np.int64), whole("logs", np.float64), whole("found", np.int64)
+        by = np.argsort(key, kind="stable")
+        key = key[by]
+        begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        return pa.table({"text_key": key[begins], "logs": np.add.reduceat(log[by], begins), "found": np.add.reduceat(hits[by], begins)})
 
     out = rows.mapInArrow(first_part, f"key {rows.schema['key'].dataType.simpleString()}, held_out boolean, text_key long, n_tokens long, known long, base double, score double")
     if not whole_vocabulary and n_train:
         asked = rows.select("text").mapInArrow(ask, _ASKED)
         vocabulary = counts.filter(f"kind = {WORDS_KIND}").select("range", "keys", "counts")
-        rest = asked.groupBy("range").cogroup(vocabulary.groupBy("range")).applyInArrow(answer, "text_key long, logs double, found long")
-        rest = rest.groupBy("text_key").agg(F.sum("logs").alias("logs"), F.sum("found").alias("found"))
+        rest = asked.groupBy("range").cogroup(vocabulary.groupBy("range")).applyInArrow(answer, "text_range int, texts binary, logs binary, found binary")
+        rest = rest.groupBy("text_range").applyInArrow(add_up, "text_key long, logs double, found long")
         out = out.join(rest, "text_key", "left")
     else:
         out = out.withColumn("logs", F.lit(0.0)).withColumn("found", F.lit(0).cast("long"))
