@@ -35,7 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pliego.llm.cluster import bounded_batches, saved
@@ -54,8 +54,9 @@ HOT = 64
 BUCKET = 20_000
 #: Keys of needed sets that are broadcast, of 8 bytes each; beyond it, both sides are shuffled.
 NEEDED = 500_000
-#: Other components that a set tries in one bucket and round, after the first round.
-TRIES = 4
+#: Others that a set tries in one bucket grow by this from round to round, so that one which many
+#: near misses surround is settled in a number of rounds that is the logarithm of their number.
+GROWTH = 6
 
 
 def sets_of(column: pa.Array, n: int = WORDS) -> list[np.ndarray]:
@@ -258,39 +259,109 @@ def can_link(n: int, own: np.ndarray, sizes: np.ndarray, others: list[np.ndarray
     return ok
 
 
-def _candidates(members: pa.Table, tries: int) -> pa.Table:
-    """Pairs (a, b) of one bucket: each set with the first others, of other components, that it could link with."""
-    by = np.argsort(members["set_key"].to_numpy())
-    key, comp, sizes = (members[c].to_numpy()[by] for c in ("set_key", "component", "n_shingles"))
-    a, b = [], []
-    if len(np.unique(comp)) > 1:
-        bits = members["sketch"].to_pylist()
-        sketches = [np.frombuffer(bits[i], U64) for i in by]
-        failed = members["failed"].to_pylist()
-        failed = [set(failed[i] or ()) for i in by]
-        for x in range(1, len(key)):
-            found: set[int] = set()
-            step, at = 32, 0
-            while at < x and len(found) < tries:
-                some = np.arange(at, min(x, at + step))
-                some = some[comp[some] != comp[x]]
-                if len(some):
-                    ok = can_link(int(sizes[x]), sketches[x], sizes[some], [sketches[i] for i in some])
-                    for i in some[ok]:
-                        if int(key[i]) not in failed[x] and int(comp[i]) not in found and len(found) < tries:
-                            found.add(int(comp[i]))
-                            a.append(int(key[i]))
-                            b.append(int(key[x]))
-                at, step = at + step, step * 4
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def _first_candidates(members: pa.Table) -> pa.Table:
-    return _candidates(members, 1)
-
-
-def _more_candidates(members: pa.Table) -> pa.Table:
-    return _candidates(members, TRIES)
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """Tables of whole groups of rows that come sorted by column."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(column).to_numpy()
+        last = int(np.searchsorted(key, key[-1]))
+        table = pa.Table.from_batches([batch])
+        if held and held[0].column(column)[0].as_py() != int(key[-1]):
+            # The group held before ends in this batch.
+            yield pa.concat_tables([*held, table.slice(0, last)])
+            held = [table.slice(last)]
+        elif held:
+            held.append(table)
+        else:
+            if last:
+                yield table.slice(0, last)
+            held = [table.slice(last)]
+    if held:
+        yield pa.concat_tables(held)
+
+
+class Bucket:
+    """The sets of one bucket, in the order of their keys, and which of them could link."""
+
+    def __init__(self, key: np.ndarray, sizes: np.ndarray, sketches: list[bytes]):
+        by = np.argsort(key, kind="stable")
+        self.by, self.key, self.sizes = by, key[by], sizes[by]
+        words = np.array([len(sketches[i]) // 8 for i in by])
+        self.kinds = [(w, np.flatnonzero(words == w)) for w in np.unique(words)]
+        self.stacks = [np.frombuffer(b"".join(sketches[by[i]] for i in at), U64).reshape(len(at), w) for w, at in self.kinds]
+
+    def possible(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, matrix) in blocks: whether each row's set could link with each set of a smaller key."""
+        m = len(self.key)
+        widest = max(w for w, _ in self.kinds)
+        step = max(1, (4 << 20) // (m * widest))
+        for (w, at), stack in zip(self.kinds, self.stacks, strict=True):
+            for a in range(0, len(at), step):
+                rows = at[a : a + step]
+                out = np.zeros((len(rows), m), bool)
+                for (v, cols), other in zip(self.kinds, self.stacks, strict=True):
+                    least = min(w, v)
+                    d = _distances(_fold(stack[a : a + step], least)[:, None, :], _fold(other, least)[None, :, :])
+                    n = self.sizes[rows][:, None] + self.sizes[cols][None, :]
+                    out[:, cols] = (SIMILARITY[0] + SIMILARITY[1]) * d <= (SIMILARITY[1] - SIMILARITY[0]) * n
+                small = np.minimum(self.sizes[rows][:, None], self.sizes[None, :])
+                large = np.maximum(self.sizes[rows][:, None], self.sizes[None, :])
+                out &= (SIMILARITY[1] * small >= SIMILARITY[0] * large) & (np.arange(m)[None, :] < rows[:, None])
+                yield rows, out
+
+
+def _groups(table: pa.Table) -> Iterator[tuple[int, int]]:
+    key = table.column("bucket").to_numpy()
+    edges = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+    return zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
+
+
+def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (bucket, set_key, n_shingles, sketch), those that could link with another of their bucket, each with the first of smaller key."""
+    for table in whole_groups(batches, "bucket"):
+        keys, sizes, sketches = table.column("set_key").to_numpy(), table.column("n_shingles").to_numpy(), table.column("sketch").to_pylist()
+        keep, partner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        known = np.zeros(len(keys), bool)
+        for a, b in _groups(table):
+            if b - a < 2:
+                continue
+            bucket = Bucket(keys[a:b], sizes[a:b], sketches[a:b])
+            for rows, ok in bucket.possible():
+                some = ok.any(1)
+                keep[a + bucket.by[rows[some]]] = True
+                keep[a + bucket.by[np.flatnonzero(ok.any(0))]] = True
+                known[a + bucket.by[rows[some]]] = True
+                partner[a + bucket.by[rows[some]]] = bucket.key[ok[some].argmax(1)]
+        out = table.append_column("partner", pa.array(partner, mask=~known)).filter(pa.array(keep))
+        yield from out.combine_chunks().to_batches()
+
+
+def more_candidates(tries: int):
+    """Pairs (a, b) of sets of one bucket and two components: each set with the first tries others of smaller keys, of another component, that it could link with and that weren't refuted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "bucket"):
+            keys, comps, sizes = (table.column(c).to_numpy() for c in ("set_key", "component", "n_shingles"))
+            sketches, failed = table.column("sketch").to_pylist(), table.column("failed").to_pylist()
+            left, right = [], []
+            for a, b in _groups(table):
+                bucket = Bucket(keys[a:b], sizes[a:b], sketches[a:b])
+                comp = comps[a:b][bucket.by]
+                for rows, ok in bucket.possible():
+                    ok &= comp[rows][:, None] != comp[None, :]
+                    for i in np.flatnonzero(ok.any(1)):
+                        refuted = failed[a + bucket.by[rows[i]]]
+                        if refuted:
+                            ok[i] &= ~np.isin(bucket.key, np.array(refuted, np.int64))
+                    of, other = np.nonzero(ok & (np.cumsum(ok, axis=1) <= tries))
+                    left.append(bucket.key[other])
+                    right.append(bucket.key[rows[of]])
+            one = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+            yield pa.record_batch([one(left), one(right)], names=["a", "b"])
+
+    return run
 
 
 def _hub_candidates(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,41 +409,46 @@ def components(edges: DataFrame) -> DataFrame:
 def set_components(docs: DataFrame, described_rows: DataFrame, text: str, hot: int = HOT, bucket: int = BUCKET) -> DataFrame:
     """(set_key, component) of every set that links with another, by the smallest set_key."""
     per_set = described_rows.filter("set_key is not null").groupBy("set_key").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    total = per_set.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    members = saved(shared_signatures(docs, text, max(1, min(1 << 20, round(total / RANGE))), hot).join(per_set, "set_key"))
-    keys = saved(members.select("set_key").distinct())
+    total = described_rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    shared = saved(shared_signatures(docs, text, max(1, min(1 << 20, round(total / RANGE))), hot))
+    large = saved(shared.groupBy("bucket").count().filter(F.col("count") > bucket).select("bucket"))
+    big = None
+    if not large.isEmpty():
+        big = saved(shared.join(large, "bucket", "left_semi").join(per_set, "set_key"))
+        shared = shared.join(large, "bucket", "left_anti")
+    members = shared.join(per_set, "set_key").select("bucket", "set_key", "n_shingles", "sketch")
+    # Most buckets hold sets that no sketch lets through: from here on, only the others' members count.
+    members = saved(members.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_first_pass, "bucket long, set_key long, n_shingles long, sketch binary, partner long"))
+    keys = members.select("set_key")
+    keys = saved((keys if big is None else keys.union(big.select("set_key"))).distinct())
     elements = saved(whole_sets(docs, text, keys))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("members"))
-    large = sizes.filter(F.col("members") > bucket).select("bucket")
-    has_large = not large.isEmpty()
-    big = saved(members.join(large, "bucket", "left_semi")) if has_large else None
-    if has_large:
-        members = saved(members.join(large, "bucket", "left_anti"))
-    spark = docs.sparkSession
     labels = keys.select("set_key", F.col("set_key").alias("component"))
-    failed = spark.createDataFrame([], "a long, b long")
-    first = True
+    failed = docs.sparkSession.createDataFrame([], "a long, b long")
+    pairs = members.filter("partner is not null").select(F.col("partner").alias("a"), F.col("set_key").alias("b"))
+    members = members.drop("partner")
+    tries = GROWTH
     while True:
-        refuted = failed.select(F.col("b").alias("set_key"), "a").groupBy("set_key").agg(F.collect_set("a").alias("failed"))
-        live = members.join(labels, "set_key")
-        mixed = live.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-        live = live.join(mixed, "bucket", "left_semi").join(refuted, "set_key", "left").select("bucket", "set_key", "component", "n_shingles", "sketch", "failed")
-        pairs = live.groupBy("bucket").applyInArrow(_first_candidates if first else _more_candidates, "a long, b long")
+        if pairs is None:
+            refuted = failed.select(F.col("b").alias("set_key"), "a").groupBy("set_key").agg(F.collect_set("a").alias("failed"))
+            live = members.join(labels, "set_key").join(refuted, "set_key", "left").repartition("bucket").sortWithinPartitions("bucket")
+            inside = Window.partitionBy("bucket")
+            live = live.withColumn("low", F.min("component").over(inside)).withColumn("high", F.max("component").over(inside)).filter("low <> high")
+            pairs = live.select("bucket", "set_key", "component", "n_shingles", "sketch", "failed").mapInArrow(more_candidates(tries), "a long, b long")
+            tries *= GROWTH
         if big is not None:
             # Hub by hub: every other set of the bucket meets its smallest one, which then leaves.
             now = big.join(labels, "set_key")
-            split = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("set_key", "n_shingles", "sketch", "component")).alias("hub")).filter("low <> high").select("bucket", "hub")
-            split = saved(split)
+            split = saved(now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("set_key", "n_shingles", "sketch", "component")).alias("hub")).filter("low <> high").select("bucket", "hub"))
             meet = now.join(split, "bucket").filter((F.col("hub.set_key") != F.col("set_key")) & (F.col("hub.component") != F.col("component")))
             pairs = pairs.union(meet.select("set_key", "n_shingles", "sketch", F.col("hub.set_key").alias("hub_key"), F.col("hub.n_shingles").alias("hub_n"), F.col("hub.sketch").alias("hub_sketch")).mapInArrow(_hub_candidates, "a long, b long"))
-            left = big.join(split.select("bucket"), "bucket", "left_semi").join(split.select("bucket", F.col("hub.set_key").alias("set_key")), ["bucket", "set_key"], "left_anti")
-            big = saved(left)
+            big = saved(big.join(split.select("bucket"), "bucket", "left_semi").join(split.select("bucket", F.col("hub.set_key").alias("set_key")), ["bucket", "set_key"], "left_anti"))
             if big.isEmpty():
                 big = None
         pairs = saved(pairs.distinct())
         if pairs.isEmpty():
             if big is None:
                 return labels
+            pairs = None
             continue
         whole = pairs.join(elements.select(F.col("set_key").alias("a"), F.col("elements").alias("of_a")), "a").join(elements.select(F.col("set_key").alias("b"), F.col("elements").alias("of_b")), "b")
         checked = saved(whole.select("a", "b", "of_a", "of_b").mapInArrow(_verify, "a long, b long, linked boolean"))
@@ -383,7 +459,7 @@ def set_components(docs: DataFrame, described_rows: DataFrame, text: str, hot: i
             edges = good.join(name.select(F.col("set_key").alias("a"), F.col("component").alias("ca")), "a").join(name.select(F.col("set_key").alias("b"), F.col("component").alias("cb")), "b").filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
             merged = components(edges)
             labels = saved(labels.join(merged, labels.component == merged.node, "left").select("set_key", F.coalesce(merged.component, labels.component).alias("component")))
-        first = False
+        pairs = None
 
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
