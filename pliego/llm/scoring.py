@@ -1,15 +1,18 @@
 """Scoring by prediction by partial matching, beside an add-one word model.
 
-The byte model is a context trie of order ``ORDER``. Escape probabilities follow PPM's method C (an
+The byte model has the contexts of orders 0 to ``ORDER``. Escape probabilities follow PPM's method C (an
 escape counts as often as the context has distinct symbols), and symbols that a longer context has
-already offered are excluded below it. As the trie is fitted before anything is scored, the whole
-descent (escapes, exclusions, the uniform order -1) is worked out once for each context and symbol,
-so that scoring a byte is a walk to its longest known context and one table look-up. A text ends with
-an end symbol, and starts after ``ORDER`` of them: probabilities of all texts sum to one.
-
-The trie keeps the contexts that hold at least 1/``CONTEXTS`` of all training bytes, so it has at most
-CONTEXTS contexts an order whatever the input's size; in a small corpus that is every context.
-``score_adaptive`` is the same model learning as it reads, for one text at a time.
+already offered are excluded below it. A text ends with an end symbol, and starts after ``ORDER`` of
+them: probabilities of all texts sum to one.
+
+Every context of the training rows counts, however rare. They lie in ranges by a hash of their two
+nearest bytes, so that a range holds all contexts of orders 2 and more that a descent through it
+meets; the counts of byte pairs (65,536 at most) give the two orders below and are broadcast. Texts
+are dealt into chunks of about ``CHUNK`` characters. A chunk asks each range once for its distinct
+grams (ORDER bytes and a symbol), gets back the log-probability of each after the whole descent
+(escapes, exclusions, the uniform order -1), and adds them up for each of its texts.
+``Trie`` is the same model over any choice of contexts in one process, and ``score_adaptive`` the
+same learning as it reads, for one text at a time.
 
 The word model counts every training token. Words above 1/``HEAD`` of all tokens (at most HEAD of
 them) are broadcast; the others' counts meet the texts that hold them in packed rows, one for each
@@ -33,14 +36,16 @@ from pyspark.sql import functions as F
 from pliego.llm.cluster import bounded_batches, saved
 from pliego.llm.words import LOWER, U64, split_words, text_bytes, text_hashes, windows, word_hashes
 
-#: Bytes of context; contexts kept an order, at most; the end symbol, no byte of UTF-8.
-ORDER, CONTEXTS, END = 4, 4000, 0xFF
+#: Bytes of context; the end symbol, no byte of UTF-8.
+ORDER, END = 4, 0xFF
 #: Words whose counts are broadcast, at most.
 HEAD = 1 << 19
 #: Tokens of the corpus for each range of the exchanges, about; n-grams and words a task holds.
 RANGE_TOKENS, HELD = 4_000_000, 3_000_000
 #: Texts for each range in which the words' answers are added up.
 RANGE_TEXTS = 20_000
+#: Characters of the texts that ask for their grams together, about.
+CHUNK = 2_500_000
 #: Hash of the end token: no word's, as a word's hash comes from its bytes.
 END_TOKEN = 0x7E57_E4D0_0BAD_F00D
 
@@ -79,6 +84,21 @@ def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return (((keys * U64(0x9E3779B97F4A7C15)) >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
 
 
+def gram_range(grams: np.ndarray, ranges: int) -> np.ndarray:
+    """Range of each gram, by the two nearest bytes of its context."""
+    return range_of(grams >> U64(8) & U64(0xFFFF), ranges)
+
+
+def grams_of(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of each symbol to predict, and where each row's begin."""
+    text, first = padded(body, at)
+    place = symbols_at(at, first)
+    value = np.zeros(len(place), U64)
+    for j in range(ORDER, -1, -1):
+        value = value << U64(8) | text[place - j]
+    return value, np.append(0, np.cumsum(np.diff(at) + 1))
+
+
 class Tally:
     """Counts of 64-bit keys, summed when many are held."""
 
@@ -123,18 +143,13 @@ def corpus_counts(texts: DataFrame, ranges: int) -> DataFrame:
             body, at = text_bytes(batch.column(0))
             rows += len(at) - 1
             words.add(word_hashes(body, split_words(body, at), lower=True))
-            text, first = padded(body, at)
-            place = symbols_at(at, first)
-            value = np.zeros(len(place), U64)
-            for j in range(ORDER, -1, -1):
-                value = value << U64(8) | text[place - j]
-            grams.add(value)
+            grams.add(grams_of(body, at)[0])
         if rows:
             words.add(np.array([END_TOKEN], U64), np.array([rows]))
         keys, n = words.merge()
         yield _count_rows(WORDS_KIND, keys, n, range_of(keys, ranges), ranges)
         keys, n = grams.merge()
-        yield _count_rows(GRAMS_KIND, keys, n, range_of(keys, ranges), ranges)
+        yield _count_rows(GRAMS_KIND, keys, n, gram_range(keys, ranges), ranges)
 
     def add_up(table: pa.Table) -> pa.Table:
         keys, n = _unique_counts(np.concatenate([np.frombuffer(x, U64) for x in table["keys"].to_pylist()]), np.concatenate([np.frombuffer(x, np.int64) for x in table["counts"].to_pylist()]))
@@ -156,19 +171,87 @@ def _unpacked(counts: DataFrame, kind: int, least: float) -> DataFrame:
     return counts.filter(f"kind = {kind}").select("keys", "counts").mapInArrow(unpack, "key long, n long")
 
 
-def trie_counts(counts: DataFrame, total: int, contexts: int = CONTEXTS) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each order, (gram, n) of the kept contexts: at most contexts * 256 grams an order, in the driver."""
-    grams = saved(_unpacked(counts, GRAMS_KIND, 1))
-    out = {}
-    for order in range(ORDER + 1):
-        part = grams.select(F.col("key").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
-        if order:
-            part = part.withColumn("context", F.shiftrightunsigned("gram", 8))
-            kept = part.groupBy("context").agg(F.sum("n").alias("all")).filter(F.col("all") >= total / contexts)
-            part = part.join(F.broadcast(kept), "context", "left_semi")  # contexts rows at most, by the threshold
-        table = part.select("gram", "n").toPandas()
-        out[order] = table.gram.to_numpy(np.int64).view(U64), table.n.to_numpy(np.int64)
-    return out
+def pair_counts(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(gram, n) of order 1, in the driver: 65,536 at most."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                pair, times = _unique_counts(np.frombuffer(k, U64) & U64(0xFFFF), np.frombuffer(n, np.int64))
+                yield pa.record_batch([pa.array(pair.view(np.int64)), pa.array(times)], names=["pair", "n"])
+
+    found = counts.filter(f"kind = {GRAMS_KIND}").select("keys", "counts").mapInArrow(add_up, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    return _unique_counts(found.pair.to_numpy(np.int64).view(U64), found.n.to_numpy(np.int64))
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands in a sorted table, and whether it does."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
+class Contexts:
+    """All contexts of a range: those of orders 2 and more from its grams, those below from the counts of pairs."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]):
+        tables = [_unique_counts(pairs[0] & U64(255), pairs[1]), pairs]
+        tables += [_unique_counts(keys & U64((1 << 8 * (order + 1)) - 1), counts) for order in range(2, ORDER + 1)]
+        self.orders = []
+        for order, (gram, n) in enumerate(tables):
+            context = gram >> U64(8)
+            begins = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(gram) else np.zeros(0, np.int64)
+            # Counts in the shorter context of the symbols that this one offers, and excludes there.
+            above, total = n, n[:0]
+            if order and len(gram):
+                above = tables[order - 1][1][np.searchsorted(tables[order - 1][0], gram & U64((1 << 8 * order) - 1))]
+            if len(gram):
+                total, above = np.add.reduceat(n, begins), np.add.reduceat(above, begins)
+            # A last entry of zeros is that of contexts not known.
+            self.orders.append((gram, n, context[begins], *(np.append(x, 0) for x in (total, np.diff(np.append(begins, len(gram))), above))))
+
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each gram's symbol after its context."""
+        value, done = np.zeros(len(grams)), np.zeros(len(grams), bool)
+        gone, lost = np.zeros(len(grams), np.int64), np.zeros(len(grams), np.int64)
+        for order in range(ORDER, -1, -1):
+            gram, n, context, total, distinct, above = self.orders[order]
+            part = grams & U64((1 << 8 * (order + 1)) - 1)
+            at, known = _found(context, part >> U64(8))
+            at = np.where(known, at, len(context))
+            left = distinct[at] - gone
+            # Without symbols to escape to, the left ones share the whole.
+            whole = total[at] - lost + np.where(distinct[at] < 256, left, 0)
+            place, hit = _found(gram, part)
+            hit &= ~done
+            value[hit] += np.log10(n[place[hit]] / whole[hit])
+            done |= hit
+            escape = ~done & (left > 0)
+            value[escape] += np.log10(left[escape] / whole[escape])
+            gone, lost = distinct[at], above[at]
+        value[~done] -= np.log10(256 - gone[~done])
+        return value
+
+
+class Values:
+    """Values of 64-bit keys, by a table of slots first and by bisection for the keys that share one."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        by = np.argsort(keys)
+        self.keys, self.values = keys[by], values[by]
+        self.shift = U64(64 - max(10, (8 * len(keys)).bit_length()))
+        self.slots = np.zeros(1 << 64 - int(self.shift), np.int32)
+        self.slots[self._slot(self.keys)] = np.arange(len(keys))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * U64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.slots[self._slot(keys)]
+        miss = np.flatnonzero(self.keys[at] != keys)
+        at[miss] = np.searchsorted(self.keys, keys[miss])
+        return self.values[at]
 
 
 class Trie:
@@ -288,7 +371,7 @@ def _asked(parts: list[tuple[np.ndarray, np.ndarray]], ranges: int) -> pa.Record
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["range", "texts", "firsts", "keys", "times"])
 
 
-def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int = HEAD, contexts: int = CONTEXTS) -> DataFrame:
+def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int = HEAD, chunk: int = CHUNK) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -300,7 +383,6 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
     counts = saved(corpus_counts(training, ranges))
     totals = {r.kind: r for r in counts.groupBy("kind").agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).collect()}
     n_train, n_distinct = (totals[WORDS_KIND].total, totals[WORDS_KIND].distinct) if totals else (0, 0)
-    n_bytes = totals[GRAMS_KIND].total if totals else 0
     floor = np.log10(n_train + n_distinct + 1)
 
     frequent = _unpacked(counts, WORDS_KIND, max(1.0, n_train / head)).toPandas()
@@ -308,20 +390,44 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
     by = np.argsort(head_keys)
     head_keys, head_counts = head_keys[by], frequent.n.to_numpy(np.int64)[by]
     whole_vocabulary = len(head_keys) == n_distinct
-    trie = Trie(trie_counts(counts, n_bytes, contexts)) if n_bytes else Trie({0: (np.zeros(0, U64), np.zeros(0, np.int64))})
-    model = spark.sparkContext.broadcast((head_keys, head_counts, trie))
+    model = spark.sparkContext.broadcast((head_keys, head_counts))
+    pairs = spark.sparkContext.broadcast(pair_counts(counts))
 
     def known_head(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        head_keys, head_counts, _ = model.value
+        head_keys, head_counts = model.value
         if not len(head_keys):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
         at = np.minimum(np.searchsorted(head_keys, hashes), len(head_keys) - 1)
         hit = head_keys[at] == hashes
         return np.where(hit, head_counts[at], 0), hit
 
-    def first_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = model.value[2]
-        for batch in batches:
+    def ask_grams(texts: pa.Table) -> pa.Table:
+        """The distinct grams of a chunk's texts, packed by range."""
+        asked = Tally()
+        for text in texts["text"].chunks:
+            asked.add(grams_of(*text_bytes(text))[0])
+        keys, _ = asked.merge()
+        place = gram_range(keys, ranges)
+        by = np.argsort(place, kind="stable")
+        at = np.searchsorted(place[by], np.arange(ranges + 1))
+        used = np.flatnonzero(np.diff(at))
+        return pa.table({"range": pa.array(used, pa.int32()), "chunk": pa.array([texts["chunk"][0].as_py()] * len(used), pa.int64()), "grams": pa.array([keys[by[at[r] : at[r + 1]]].tobytes() for r in used], pa.binary())})
+
+    def answer_grams(_key, asked: pa.Table, known: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x, U64) for x in asked["grams"].to_pylist()]
+        counted = [(np.frombuffer(k, U64), np.frombuffer(n, np.int64)) for k, n in zip(known["keys"].to_pylist(), known["counts"].to_pylist(), strict=True)] or [(np.zeros(0, U64), np.zeros(0, np.int64))]
+        values = []
+        if parts:
+            grams = np.unique(np.concatenate(parts))
+            value = Contexts(*counted[0], pairs.value).log10(grams)
+            values = [value[np.searchsorted(grams, p)].tobytes() for p in parts]
+        return pa.table({"chunk": asked["chunk"], "grams": asked["grams"], "logs": pa.array(values, pa.binary())})
+
+    def first_part(_chunk, texts: pa.Table, answers: pa.Table) -> pa.Table:
+        whole = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in answers[c].to_pylist()])
+        value = Values(whole("grams", U64), whole("logs", np.float64))
+        out = []
+        for batch in texts.select(["key", "held_out", "text"]).to_batches():
             body, at = text_bytes(batch.column(2))
             words = split_words(body, at)
             count, hit = known_head(word_hashes(body, words, lower=True))
@@ -330,7 +436,10 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
             known = np.concatenate([[0], np.cumsum(count > 0)])
             n = words.counts() + 1
             base = logs[edge[1:]] - logs[edge[:-1]] + np.log10(ends + 1) - n * floor
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(text_hashes(body, at, lower=True).view(np.int64)), pa.array(n, pa.int64()), pa.array(known[edge[1:]] - known[edge[:-1]] + int(ends > 0), pa.int64()), pa.array(base, pa.float64()), pa.array(trie.score(body, at), pa.float64())], names=["key", "held_out", "text_key", "n_tokens", "known", "base", "score"])
+            grams, begins = grams_of(body, at)
+            score = np.add.reduceat(value[grams], begins[:-1]) if len(n) else np.zeros(0)
+            out.append(pa.record_batch([batch.column(0), batch.column(1), pa.array(text_hashes(body, at, lower=True).view(np.int64)), pa.array(n, pa.int64()), pa.array(known[edge[1:]] - known[edge[:-1]] + int(ends > 0), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())], names=["key", "held_out", "text_key", "n_tokens", "known", "base", "score"]))
+        return pa.Table.from_batches(out)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words of each text that the broadcast table doesn't hold, packed by hash range."""
@@ -383,7 +492,11 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
         begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         return pa.table({"text_key": key[begins], "logs": np.add.reduceat(log[by], begins), "found": np.add.reduceat(hits[by], begins)})
 
-    out = rows.mapInArrow(first_part, f"key {rows.schema['key'].dataType.simpleString()}, held_out boolean, text_key long, n_tokens long, known long, base double, score double")
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(max(1, -(-length // chunk)))))
+    asked_grams = dealt.groupBy("chunk").applyInArrow(ask_grams, "range int, chunk long, grams binary")
+    contexts = counts.filter(f"kind = {GRAMS_KIND}").select("range", "keys", "counts")
+    answers = asked_grams.groupBy("range").cogroup(contexts.groupBy("range")).applyInArrow(answer_grams, "chunk long, grams binary, logs binary")
+    out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(first_part, f"key {rows.schema['key'].dataType.simpleString()}, held_out boolean, text_key long, n_tokens long, known long, base double, score double")
     if not whole_vocabulary and n_train:
         asked = rows.select("text").mapInArrow(ask, _ASKED)
         vocabulary = counts.filter(f"kind = {WORDS_KIND}").select("range", "keys", "counts")

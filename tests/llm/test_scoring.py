@@ -115,3 +115,17 @@ def test_learned_model_beats_order_zero_on_held_out_texts():
     assert -model(unseen) < 0.6 * entropy
     body, _ = text_bytes(pa.array([unseen * 4]))
     assert -scoring.score_adaptive(body.tobytes()) < 4 * entropy
+
+
+def test_rare_contexts_count_in_a_corpus_of_many(spark):
+    """The former model kept at most 4,000 contexts an order; here most stand in one text each."""
+    rnd = random.Random(11)
+    rows = [(i, "".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(400)), "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(3)
+    train = [t for k, t, _ in rows if not held_out(k)]
+    assert len({t[i : i + 4] for t in train for i in range(len(t))}) > 4000
+    model = ppm(train)
+    want = [model(t) for _, t, _ in rows]
+    for how in ({}, {"chunk": 5000}):
+        got = {r.doc_id: r.score for r in scoring.score(df, **how).collect()}
+        assert [got[k] for k, _, _ in rows] == pytest.approx(want, abs=1e-6)
