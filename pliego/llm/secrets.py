@@ -4,7 +4,8 @@
 multipart credentials: access identifiers, secrets and endpoints, each a weak candidate by itself,
 are interval-joined within a scope, and a candidate counts only when a part of another kind that
 completes it stands within the same scope. A scope is a run of lines without a blank one, and
-inside it parts join when at most ``REACH`` code points separate them.
+inside it parts join when at most ``REACH`` code points separate them, not counting whole lines of
+settings between them, of which there may be any number.
 
 The join is one sweep over the sorted parts of a text, so a text with many parts costs
 n log n, and no row leaves its task. Nulls are empty texts, repeated rows give repeated results,
@@ -33,15 +34,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 HINT = re.compile(r"(?i:passw|secret|token|api_?key)", re.ASCII)
 
-#: Code points between two parts of one credential, at most.
+#: Code points between two parts of one credential, at most, without the lines of settings between them.
 REACH = 200
+#: A line of settings: a name and a value, a comment, a section, or brackets alone.
+SETTING = re.compile(r"""^[ \t]*(?:(?:export[ \t]+|[-*][ \t]+)?["']?[\w.$-]+["']?[ \t]*[:=]|#|;|//|\[[^\]\n]*\][ \t\r]*$|[\[\]{}(),]+[ \t\r]*$)""", re.ASCII | re.M)
 #: Bits a character that a bare string must have to be a weak secret.
 WEAK_SECRET_BITS = 3.5
 #: Weak parts. Each names the kind and the group that holds the value.
 PARTS = (
-    ("id", re.compile(r"""(?:client|account|tenant|access_?key)_?id["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{4,})|\b(?:user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""", re.ASCII | re.I)),
-    ("endpoint", re.compile(r"""\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://([^\s"'<>]{3,})|\b(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]+\.[A-Za-z]{2,}|\d{1,3}(?:\.\d{1,3}){3})""", re.ASCII | re.I)),
-    ("secret", re.compile(r"""(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{16,}={0,2})(?![A-Za-z0-9+/_=-])|\b(?:pass|pwd|pw|key|credential|auth)["']?\x20*[:=]\x20*["']?([^\s"',;]{6,})""", re.ASCII)),
+    ("id", re.compile(r"""(?:client|account|tenant|access_?key)_?id["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{4,})|(?<![A-Za-z0-9])(?:user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""", re.ASCII | re.I)),
+    ("endpoint", re.compile(r"""\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://([^\s"'<>]{3,})|(?<![A-Za-z0-9])(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]+\.[A-Za-z]{2,}|\d{1,3}(?:\.\d{1,3}){3})""", re.ASCII | re.I)),
+    ("secret", re.compile(r"""(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{16,}={0,2})(?![A-Za-z0-9+/_=-])|(?<![A-Za-z0-9])(?:pass|pwd|pw|key|credential|auth)["']?\x20*[:=]\x20*["']?([^\s"',;]{6,})""", re.ASCII | re.I)),
 )
 PART_HINT = re.compile(r"://|[:=]")
 #: What completes a weak candidate of each kind.
@@ -103,6 +106,16 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[tuple[
         by.setdefault((scope(s), s.kind), []).append(s)
     starts = {k: [s.start for s in v] for k, v in by.items()}
     ends = {k: list(itertools.accumulate((s.end for s in v), max)) for k, v in by.items()}
+    # Places as they are without the lines of settings before a part's line, or up to it.
+    lines = [0, *(m.end() for m in re.finditer("\n", text)), len(text) + 1]
+    settings = {bisect.bisect_right(lines, m.start()) - 1 for m in SETTING.finditer(text)}
+    dropped = list(itertools.accumulate((lines[i + 1] - lines[i] if i in settings else 0 for i in range(len(lines) - 1)), initial=0))
+    line = lambda s: bisect.bisect_right(lines, s.start) - 1
+    from_line = lambda s: s.start - dropped[line(s)]
+    after_line = lambda s: s.end - dropped[line(s) + 1]
+    line_of = {k: [line(s) for s in v] for k, v in by.items()}
+    last = {k: list(itertools.accumulate((after_line(s) for s in v), max)) for k, v in by.items()}
+    first = {k: list(itertools.accumulate((from_line(s) for s in reversed(v)), min))[::-1] for k, v in by.items()}
     out = []
     for s in weak:
         near = 0
@@ -110,7 +123,11 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[tuple[
             k = (scope(s), other)
             if k in by:  # of those that start early enough, does the farthest end reach far enough?
                 high = bisect.bisect_right(starts[k], s.end + reach)
-                near += high > 0 and ends[k][high - 1] + reach >= s.start
+                close = high > 0 and ends[k][high - 1] + reach >= s.start
+                if not close:  # and of those on earlier lines, and on later ones, without the settings between?
+                    low, high = bisect.bisect_left(line_of[k], line(s)), bisect.bisect_right(line_of[k], line(s))
+                    close = low > 0 and last[k][low - 1] + reach >= from_line(s) or high < len(first[k]) and first[k][high] <= after_line(s) + reach
+                near += close
         if near:
             out.append((Span(s.start, s.end, f"linked_{s.kind}"), near))
     return out

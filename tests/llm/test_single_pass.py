@@ -90,6 +90,18 @@ def test_weak_parts_count_only_together(spark):
     assert secrets.scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_weak_parts_in_settings():
+    linked = lambda t: [s.kind for s, _ in secrets.linked_spans(t, secrets.base_spans(t))]
+    every = ["linked_endpoint", "linked_id", "linked_secret"]
+    for text in ("DB_HOST=db.example.com\nDB_USER=app\nDB_PASS=hunter22!x", "HOST=db.example.com\nUSER=app\nPASS=hunter22!x"):
+        assert sorted(linked(text)) == sorted(linked(text.lower())) == every
+        assert secrets.redact_text(text).count(secrets.MASK) == 3
+    far = "".join(f"OTHER_{i} = some value of it\n# note\n" for i in range(40))
+    assert sorted(linked(f"DB_USER=app\n{far}DB_PASS=hunter22!x")) == ["linked_id", "linked_secret"]
+    assert sorted(linked(f"DB_PASS=hunter22!x\n{far}DB_USER=app")) == ["linked_id", "linked_secret"]
+    assert linked(f"DB_USER=app\n{far}\n{far}DB_PASS=hunter22!x") == []
+
+
 def plain_quality(text):
     text = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
