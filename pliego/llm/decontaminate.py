@@ -10,9 +10,13 @@ document, and no two for the same, as in a question asked again with other param
 The benchmark side of the join is broadcast in blocks of a bounded number of windows, one pass over the
 documents each; a benchmark of any size goes through. No document text is shuffled.
 
-Null texts and items hold nothing. Items shorter than a window are looked for as a whole. Repeated
-rows are judged each; repeated items count as items of their own. Empty tables give an empty
-result. Windows with fewer than ``LITERALS`` plain words are not joined: they would match anything.
+Template windows with fewer than ``LITERALS`` plain words would match anything and are not joined. All
+windows are joined on their words in lower case as well, so that a copy in any case is found however
+many of its words are numbers, units or names.
+
+Null texts and items hold nothing. Items shorter than a window are looked for as a whole, by their
+words in lower case. Repeated rows are judged each; repeated items count as items of their own. Empty
+tables give an empty result.
 """
 
 from __future__ import annotations
@@ -89,9 +93,10 @@ UNIT_HASHES = np.sort(_plain_hashes(sorted(UNITS)))
 
 
 class Template(NamedTuple):
-    """Template tokens of a batch of texts: hash, slot and byte range of each, and each row's first."""
+    """Template tokens of a batch of texts: hash, hash of the word itself, slot and byte range of each, and each row's first."""
 
     token: np.ndarray
+    literal: np.ndarray
     slot: np.ndarray
     start: np.ndarray
     end: np.ndarray
@@ -103,7 +108,7 @@ def template(body: np.ndarray, at: np.ndarray) -> Template:
     n = len(words.start)
     if not n:
         none = np.zeros(0, np.int64)
-        return Template(none.astype(U64), none, none, none, words.first)
+        return Template(none.astype(U64), none.astype(U64), none, none, none, words.first)
     low, upper = _lowered(body)
     inner = ~_edges(body)
     inner_at = np.flatnonzero(inner)
@@ -131,10 +136,11 @@ def template(body: np.ndarray, at: np.ndarray) -> Template:
     for i in np.flatnonzero(numeric):
         if NUMBER.match(EDGE.sub("", body[words.start[i] : words.end[i]].tobytes().decode()).lower()):
             slot[i] = NUM
+    literal = token
     token = np.where(slot > 0, SLOT_TOKEN[slot], token)
     keep = ~empty
     kept = np.concatenate([[0], np.cumsum(keep)])
-    return Template(token[keep], slot[keep], words.start[keep], words.end[keep], kept[words.first])
+    return Template(token[keep], literal[keep], slot[keep], words.start[keep], words.end[keep], kept[words.first])
 
 
 def template_windows(t: Template) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,6 +151,29 @@ def template_windows(t: Template) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return value, starts, plain[starts + WINDOW] - plain[starts] >= LITERALS
 
 
+def literal_windows(t: Template) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of windows of words in lower case, and the token at which each starts."""
+    value, first = windows(t.literal, t.first, WINDOW)
+    return value, np.arange(len(value)) + np.repeat(t.first[:-1] - first[:-1], np.diff(first))
+
+
+class Index:
+    """Windows of items by their hash."""
+
+    def __init__(self, value: np.ndarray, item: np.ndarray, place: np.ndarray):
+        by = np.argsort(value, kind="stable")
+        self.value, self.item, self.place = value[by], item[by], place[by]
+        self.filter = np.zeros(1 << 20, bool)
+        self.filter[(self.value & U64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def hits(self, value: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        maybe = np.flatnonzero(self.filter[(value & U64((1 << 20) - 1)).astype(np.int64)])
+        low, high = np.searchsorted(self.value, value[maybe], side="left"), np.searchsorted(self.value, value[maybe], side="right")
+        for i, a, b in zip(starts[maybe].tolist(), low.tolist(), high.tolist(), strict=True):
+            for j in range(a, b):
+                yield i, int(self.item[j]), int(self.place[j])
+
+
 class Items:
     """A block of benchmark items, as an index of template windows."""
 
@@ -158,23 +187,18 @@ class Items:
         self.slots = [t.slot[t.first[r] : t.first[r + 1]] for r in range(len(ids))]
         value, starts, ok = template_windows(t)
         row = np.searchsorted(t.first, starts, side="right") - 1
-        by = np.argsort(value[ok], kind="stable")
-        self.value, self.item, self.place = value[ok][by], row[ok][by], (starts - t.first[row])[ok][by]
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[(self.value & U64((1 << 20) - 1)).astype(np.int64)] = True
+        self.templates = Index(value[ok], row[ok], (starts - t.first[row])[ok])
+        self.literals = Index(literal_windows(t)[0], row, starts - t.first[row])
         self.short = {int(n): {} for n in np.unique(self.length) if 0 < n < WINDOW}
         for r in np.flatnonzero((self.length > 0) & (self.length < WINDOW)):
-            v, _ = windows(t.token[t.first[r] : t.first[r + 1]], np.array([0, self.length[r]]), int(self.length[r]))
+            v, _ = windows(t.literal[t.first[r] : t.first[r + 1]], np.array([0, self.length[r]]), int(self.length[r]))
             self.short[int(self.length[r])].setdefault(int(v[0]), []).append(int(r))
 
     def hits(self, t: Template) -> Iterator[tuple[int, int, int]]:
         """(token, item, place in the item) of each joined window."""
         value, starts, ok = template_windows(t)
-        maybe = np.flatnonzero(self.filter[(value & U64((1 << 20) - 1)).astype(np.int64)] & ok)
-        low, high = np.searchsorted(self.value, value[maybe], side="left"), np.searchsorted(self.value, value[maybe], side="right")
-        for i, a, b in zip(starts[maybe].tolist(), low.tolist(), high.tolist(), strict=True):
-            for j in range(a, b):
-                yield i, int(self.item[j]), int(self.place[j])
+        yield from self.templates.hits(value[ok], starts[ok])
+        yield from self.literals.hits(*literal_windows(t))
 
 
 class Passage(NamedTuple):
@@ -245,7 +269,7 @@ def find(column: pa.Array, items: Items) -> list[list[Passage]]:
     for token, item, place in items.hits(t):
         found[int(np.searchsorted(t.first, token, side="right")) - 1, item].append((token, place))
     for n, known in items.short.items():
-        value, first = windows(t.token, t.first, n)
+        value, first = windows(t.literal, t.first, n)
         starts = np.arange(len(value)) + np.repeat(t.first[:-1] - first[:-1], np.diff(first))
         for i in np.flatnonzero(np.isin(value, np.array(list(known), U64))):
             for item in known[int(value[i])]:
