@@ -36,8 +36,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document, in training order."""
-    return mixing.in_training_order(mixing.mix(docs)).select("doc_id", "source", "size", "source_size", "target", "taken", "position")
+    """What the mix takes of each document, in training order, with the position of every copy."""
+    return mixing.in_training_order(mixing.mix(docs)).select("doc_id", "source", "size", "source_size", "target", "taken", "position", "positions")
 
 
 STAGES = [

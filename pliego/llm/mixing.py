@@ -9,7 +9,8 @@ taken target // size times, those before the cut once more, and the one at the c
 ``positions`` orders what is taken in time. Source s has the weight w_s * (1 + slope_s * (2t - 1))
 at time t of 0..1; its integral is W_s(t) = w_s * (t + slope_s * (t*t - t)). The copy of a
 document that ends a share u of the source's taken words stands at the t with W_s(t) = u * W_s(1), which
-inverts cumulative demand; sorting by t ranges all copies into training order.
+inverts cumulative demand; sorting by t ranges all copies into training order. The n-th copy of a
+document ends n - 1 whole sources after its first, and the cut one where the target does.
 
 All of it is DataFrame work on narrow rows. The running sums inside a source are made in two
 levels, of fixed-size hash buckets and of rows inside a bucket, so that a source with a third of all
@@ -91,17 +92,22 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
 
 
 def positions(mixed: DataFrame) -> DataFrame:
-    """mixed with position, the time of 0..1 of each document's first copy (null: not taken)."""
-    end = F.least(F.col("before") + F.col("size"), F.floor("target"))
-    share = F.when(F.col("taken") > 0, end / F.floor("target"))
+    """mixed with positions, the times of 0..1 of each document's copies, and position, that of its first (null: not taken)."""
+    whole = F.floor("target")
+    copies = F.col("epochs") + (F.col("taken") > F.col("epochs") * F.col("size")).cast("long")
     a = F.col("slope")
-    # a*t*t + (1-a)*t - u = 0; W(1) = w, as the slope's integral over 0..1 is 0.
-    root = F.when(a == 0, share).otherwise((-(1 - a) + F.sqrt((1 - a) * (1 - a) + 4 * a * share)) / (2 * F.when(a == 0, F.lit(None)).otherwise(a)))
-    return mixed.withColumn("position", root)
+
+    def time(epoch: Column) -> Column:
+        share = F.least(epoch * F.col("source_size") + F.col("before") + F.col("size"), whole) / whole
+        # a*t*t + (1-a)*t - u = 0; W(1) = w, as the slope's integral over 0..1 is 0.
+        return F.when(a == 0, share).otherwise((-(1 - a) + F.sqrt((1 - a) * (1 - a) + 4 * a * share)) / (2 * F.when(a == 0, F.lit(None)).otherwise(a)))
+
+    every = F.when(F.col("taken") > 0, F.transform(F.sequence(F.lit(0).cast("long"), copies - 1), time))
+    return mixed.withColumn("positions", every).withColumn("position", F.get("positions", F.lit(0)))
 
 
 def in_training_order(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Range-sorted by position; those not taken come last."""
+    """Range-sorted by the first copy's position; those not taken come last."""
     return positions(mixed).orderBy(F.col("position").asc_nulls_last(), key)
 
 
