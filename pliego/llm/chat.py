@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pliego.llm.cluster import bounded_batches, saved
 
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
-#: Rounds of the longest-path relaxation: a longer chain of citations is unresolved.
+#: Rounds of the longest-path relaxation over all conversations; those with a longer chain or a
+#: circle are solved each by itself, from the identifiers of its calls alone.
 MAX_DEPTH = 64
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
 
@@ -120,6 +121,28 @@ def parse(role: str | None, text: str | None) -> list[dict]:
     return [{"kind": "message", "id": None, "name": role, "value": canonical(content), "cites": []}, *parts]
 
 
+def peel(table: pa.Table) -> pa.Table:
+    """Time and level of the calls of one conversation, each after all that it cites; circular: in a circle or after one."""
+    ids, at, done, cites = (table[c].to_pylist() for c in ("l_id", "at", "done", "cites"))
+    index = {x: i for i, x in enumerate(ids)}
+    users: list[list[int]] = [[] for _ in ids]
+    left, level = [0] * len(ids), [0] * len(ids)
+    for i, cited in enumerate(cites):
+        for c in {index[c] for c in cited or () if c in index}:
+            users[c].append(i)
+            left[i] += 1
+    ready = [i for i, n in enumerate(left) if not n]
+    for i in ready:
+        for u in users[i]:
+            at[u] = max((x for x in (at[u], at[i], done[i]) if x is not None), default=None)
+            level[u] = max(level[u], level[i] + 2)
+            left[u] -= 1
+            if not left[u]:
+                ready.append(u)
+    kinds = {c: table.schema.field(c).type for c in ("at", "done")}
+    return pa.table({"l_conv": table["l_conv"], "l_id": table["l_id"], "at": pa.array(at, kinds["at"]), "done": pa.array(done, kinds["done"]), "level": pa.array(level, pa.int32()), "circular": pa.array([n > 0 for n in left], pa.bool_())})
+
+
 def link_calls(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv, turn, part, kind, status, order_turn, order_level and json of every part of every turn; sort by (conv, order_turn, order_level, turn, part)."""
     bounded_batches(conversations.sparkSession)
@@ -157,7 +180,8 @@ def link_calls(conversations: DataFrame, conv: str = "conv_id", turn: str = "tur
     if not edges.isEmpty():
         target = level.select(F.col("l_conv").alias("g_conv"), F.col("l_id").alias("g_id"))
         missing = edges.join(target, same("e_conv", "g_conv") & same("cited", "g_id"), "left_anti").select("e_conv", "e_id").distinct()
-        for depth in range(MAX_DEPTH + 1):
+        start = level
+        for _ in range(MAX_DEPTH + 1):
             cited = level.select(F.col("l_conv").alias("c_conv"), F.col("l_id").alias("c_id"), F.greatest("at", "done").alias("c_at"), F.col("level").alias("c_level"))
             need = edges.join(cited, same("e_conv", "c_conv") & same("cited", "c_id")).groupBy("e_conv", "e_id").agg(F.max("c_at").alias("n_at"), F.max("c_level").alias("n_level"))
             step = level.join(need, same("l_conv", "e_conv") & same("l_id", "e_id"), "left").select("l_conv", "l_id", F.greatest("at", F.coalesce("n_at", "at")).alias("at"), "done", F.greatest("level", F.coalesce(F.col("n_level") + 2, F.lit(0))).alias("level"), (F.coalesce(F.col("n_level") + 2, F.lit(0)) > F.col("level")).alias("moved"))
@@ -165,9 +189,14 @@ def link_calls(conversations: DataFrame, conv: str = "conv_id", turn: str = "tur
             level = step.select("l_conv", "l_id", "at", "done", "level")
             if step.filter("moved").isEmpty():
                 break
-        unresolved = missing.withColumn("circular", F.lit(False))
-        if depth == MAX_DEPTH:
-            unresolved = unresolved.unionByName(step.filter("moved").select(F.col("l_conv").alias("e_conv"), F.col("l_id").alias("e_id"), F.lit(True).alias("circular")))
+        else:
+            deep = saved(step.filter("moved").select(F.col("l_conv").alias("d_conv")).distinct())
+            cited = edges.groupBy("e_conv", "e_id").agg(F.collect_set("cited").alias("cites"))
+            graph = start.join(deep, same("l_conv", "d_conv"), "left_semi").join(cited, same("l_conv", "e_conv") & same("l_id", "e_id"), "left").select("l_conv", "l_id", "at", "done", "cites")
+            solved = saved(graph.groupBy("l_conv").applyInArrow(peel, f"l_conv {types['conv']}, l_id string, at {types['turn']}, done {types['turn']}, level int, circular boolean"))
+            level = level.join(deep, same("l_conv", "d_conv"), "left_anti").unionByName(solved.drop("circular"))
+            missing = missing.unionByName(solved.filter("circular").select(F.col("l_conv").alias("e_conv"), F.col("l_id").alias("e_id")))
+        unresolved = missing
         unresolved = unresolved.groupBy(F.col("e_conv").alias("u_conv"), F.col("e_id").alias("u_id")).agg(F.lit(True).alias("unresolved"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -68,3 +68,18 @@ def test_circles_missing_nulls_and_empty(spark):
     assert [r[7] for r in got if r[0] is None] == ['{"content":"","role":""}']
     assert [json.loads(r[7])["content"] for r in got if r[0] == 3] == ['quote " and \\ and \n'] * 2
     assert run(spark, []) == []
+
+
+def test_chains_of_any_length_are_no_circles(spark, monkeypatch):
+    monkeypatch.setattr(chat, "MAX_DEPTH", 2)
+    chain = [call("0", "f", v=1)] + [call(str(i), "f", v={"$result": str(i - 1)}) for i in range(1, 30)]
+    rows = [(1, 0, "assistant", "".join(reversed(chain)))] + [(1, 1 + i, "tool", result(str(i), i)) for i in range(30)]
+    rows += [(2, 0, "assistant", call("a", "f", v={"$result": "b"}) + call("b", "f", v={"$result": "a"}) + call("c", "f", v={"$result": "b"}) + call("d", "f", v=1) + call("e", "f", v={"$result": "d"}))]
+    rows += [(3, 0, "assistant", call("y", "f", v={"$result": "x"}) + call("x", "f", v=1)), (None, 0, "assistant", "".join(chain))]
+    got = run(spark, rows)
+    calls = {(r[0], json.loads(r[7])["id"]): (r[4], r[6]) for r in got if r[3] == "call"}
+    assert all(calls[1, str(i)] == ("ok", 2 * i) and calls[None, str(i)] == ("unanswered", 2 * i) for i in range(30))
+    assert {i: calls[2, i][0] for i in "abcde"} == dict.fromkeys("abc", "unresolved") | dict.fromkeys("de", "unanswered")
+    assert calls[3, "y"][1] == 2 and calls[2, "e"][1] == 2
+    order = [json.loads(r[7]) for r in got if r[0] == 1 and r[3] in ("call", "result")]
+    assert [x.get("id", x.get("tool_call_id")) for x in order] == [str(i) for i in range(30) for _ in range(2)]
