@@ -9,11 +9,19 @@ call after the results that it cites as ``{"$result": id}``); and each becomes o
 canonical JSON (sorted keys, no spaces, shortest numbers, UTF-8).
 
 The order of a conversation is given as a sort key, not as a running number, so no task ever holds a
-conversation. An identifier's first call (by turn) is the one that results and citations meet;
-later ones are ``duplicate``. Results without a call are ``orphan``, calls without a result
-``unanswered``, citations that can't be met or run in a circle ``unresolved``. Nulls are empty contents and
-roles; repeated rows become repeated messages, of which calls are duplicates; an empty table gives
-an empty one; other columns are not read.
+conversation. A call is validated against the definition that is in force where it stands: the last
+one of its tool at or before it.
+
+Status of a call, the first that holds: ``duplicate`` (an identifier's first call by turn is the one
+that results and citations meet), ``unresolved`` (it cites what can't be met, or runs in a circle),
+``undefined`` (its conversation defines tools, but not this one by then), ``bad_schema`` (the
+definition's schema is malformed), ``invalid`` (its arguments break the schema), ``unanswered`` (no
+result), ``ok``. Results without a call are ``orphan``. What can't be read as a call, result or
+definition is ``malformed`` and kept as text: no JSON, nested deeper than ``MAX_NESTING``, or with an
+identifier or name that is no Unicode text. Lone surrogates in values stay escaped in the output.
+
+Nulls are empty contents and roles; repeated rows become repeated messages, of which calls are
+duplicates; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,20 +31,25 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pliego.llm.cluster import bounded_batches, saved
 
+LINKING = ("call", "result", "tool")
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 #: Rounds of the longest-path relaxation over all conversations; those with a longer chain or a
 #: circle are solved each by itself, from the identifiers of its calls alone.
 MAX_DEPTH = 64
+#: Depth of JSON that is read. Deeper values would need more stack than a worker has.
+MAX_NESTING = 200
+#: Turns in a block of the two-level search for the definition in force.
+BLOCK_TURNS = 1024
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
 
 
 def canonical(value: object) -> str:
-    """Canonical JSON: sorted keys, no spaces; whole floats as integers; not-a-numbers as null."""
+    """Canonical JSON: sorted keys, no spaces; whole floats as integers; not-a-numbers as null; lone surrogates escaped."""
 
     def plain(v):
         if isinstance(v, float):
@@ -45,35 +58,61 @@ def canonical(value: object) -> str:
             return {k: plain(x) for k, x in v.items()}
         return [plain(x) for x in v] if isinstance(v, list) else v
 
-    return json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    return json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode("utf-8", "backslashreplace").decode()
 
 
-def violations(value: object, schema: object, at: str = "$") -> list[str]:
-    """Where value breaks a JSON schema of types, enums, bounds, required and further properties, and items."""
+def _number(x: object) -> bool:
+    return isinstance(x, int | float) and not isinstance(x, bool)
+
+
+def malformed_keywords(schema: object, at: str = "$") -> list[str]:
+    """Where a schema of types, enums, bounds, required and further properties, and items is none."""
+    if isinstance(schema, bool):
+        return []
     if not isinstance(schema, dict):
+        return [f"{at}: no schema"]
+    kind = schema.get("type", [])
+    wrong = [] if all(isinstance(k, str) and k in _TYPES for k in (kind if isinstance(kind, list) else [kind])) else ["type"]
+    wrong += ["enum"] if not isinstance(schema.get("enum", []), list) else []
+    wrong += [k for k in ("minimum", "maximum") if not _number(schema.get(k, 0))]
+    required = schema.get("required", [])
+    wrong += ["required"] if not (isinstance(required, list) and all(isinstance(x, str) for x in required)) else []
+    properties = schema.get("properties", {})
+    wrong += ["properties"] if not isinstance(properties, dict) else []
+    out = [f"{at}: malformed {k}" for k in wrong]
+    if isinstance(properties, dict):
+        out += [x for k in sorted(properties) for x in malformed_keywords(properties[k], f"{at}.{k}")]
+    further = schema.get("additionalProperties", True)
+    return out + malformed_keywords(further, f"{at}.*") + (malformed_keywords(schema["items"], f"{at}[]") if "items" in schema else [])
+
+
+def violations(value: object, schema: object, at: str = "$") -> list[str]:
+    """Where value breaks a well-formed schema. A value that cites a result fits any."""
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: not allowed"]
+    if isinstance(value, dict) and set(value) == {"$result"}:
         return []
     kind = schema.get("type")
     kinds = kind if isinstance(kind, list) else [kind] if kind else []
-    cited = isinstance(value, dict) and set(value) == {"$result"}
-    if cited:
-        return []
-    fits = lambda k: k in _TYPES and isinstance(value, _TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number"))
+    fits = lambda k: isinstance(value, _TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number"))
     if kinds and not any(fits(k) or k == "integer" and isinstance(value, float) and value.is_integer() for k in kinds):
-        return [f"{at}: not {'/'.join(map(str, kinds))}"]
+        return [f"{at}: not {'/'.join(kinds)}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         out.append(f"{at}: not in enum")
-    if isinstance(value, int | float) and not isinstance(value, bool):
+    if _number(value):
         out += [f"{at}: below minimum"] if "minimum" in schema and value < schema["minimum"] else []
         out += [f"{at}: above maximum"] if "maximum" in schema and value > schema["maximum"] else []
     if isinstance(value, dict):
-        known = schema.get("properties") or {}
-        out += [f"{at}.{k}: missing" for k in sorted(schema.get("required") or []) if k not in value]
+        known, further = schema.get("properties", {}), schema.get("additionalProperties", True)
+        out += [f"{at}.{k}: missing" for k in sorted(schema.get("required", [])) if k not in value]
         for k in sorted(value):
             if k in known:
                 out += violations(value[k], known[k], f"{at}.{k}")
-            elif schema.get("additionalProperties") is False:
+            elif further is False:
                 out.append(f"{at}.{k}: unknown")
+            else:
+                out += violations(value[k], further, f"{at}.{k}")
     if isinstance(value, list) and "items" in schema:
         out += [x for i, v in enumerate(value) for x in violations(v, schema["items"], f"{at}[{i}]")]
     return out
@@ -82,43 +121,74 @@ def violations(value: object, schema: object, at: str = "$") -> list[str]:
 def citations(value: object) -> list[str]:
     if isinstance(value, dict):
         if set(value) == {"$result"}:
-            return [str(value["$result"])]
+            return [_id(value["$result"])]
         return [x for v in value.values() for x in citations(v)]
     return [x for v in value for x in citations(v)] if isinstance(value, list) else []
 
 
+def _id(value: object) -> str:
+    """An identifier as text: a string as it stands, anything else as canonical JSON."""
+    return value.encode("utf-8", "backslashreplace").decode() if isinstance(value, str) else canonical(value)
+
+
+def _unicode(value: object) -> bool:
+    return isinstance(value, str) and not any("\ud800" <= c <= "\udfff" for c in value)
+
+
+def _shallow(value: object, left: int = MAX_NESTING) -> bool:
+    level = [value]
+    while level and left:
+        level = [x for v in level if isinstance(v, dict | list) for x in (v.values() if isinstance(v, dict) else v)]
+        left -= 1
+    return not level
+
+
 def _load(text: str) -> object:
+    """The JSON value of a text; None where it is none or nested too deeply."""
     try:
-        return json.loads(text)
-    except ValueError:
+        value = json.loads(text)
+    except (ValueError, RecursionError):
         return None
+    return value if _shallow(value) else None
+
+
+def _part(kind: str, value: str, name: str | None = None, id: str | None = None, cites: list[str] | None = None) -> dict:
+    return {"kind": kind, "id": id, "name": name, "value": value, "cites": cites or []}
+
+
+def _call(text: str) -> dict:
+    call = _load(text)
+    if isinstance(call, dict) and _unicode(call.get("name")) and call.get("id") is not None and (_unicode(call["id"]) or not isinstance(call["id"], str)):
+        arguments = call.get("arguments", {})
+        if isinstance(arguments, str):
+            arguments, given = _load(arguments), arguments
+            if arguments is None and given.strip() != "null":
+                return _part("bad_call", canonical(text.strip()))
+        return _part("call", canonical(arguments), call["name"], _id(call["id"]), sorted(set(citations(arguments))))
+    return _part("bad_call", canonical(text.strip()))
 
 
-def parse(role: str | None, text: str | None) -> list[dict]:
-    """The parts of one turn: its message, and its calls, results or tool definitions."""
+def parse(role: str | None, text: str | None, linking: bool | None = None) -> list[tuple[int, dict]]:
+    """The numbered parts of one turn: its message, and its calls, results or tool definitions.
+
+    linking: only those that link (calls, results, definitions), or only the others; None: all.
+    """
     role, text = role or "", text or ""
     parts, content = [], text
     if role == "assistant" and "<tool_call>" in text:
-        for m in CALL.finditer(text):
-            call = _load(m[1])
-            if isinstance(call, dict) and isinstance(call.get("name"), str) and call.get("id") is not None:
-                arguments = call.get("arguments", {})
-                if isinstance(arguments, str):
-                    arguments = _load(arguments)
-                parts.append({"kind": "call", "id": str(call["id"]), "name": call["name"], "value": canonical(arguments), "cites": sorted(set(citations(arguments)))})
-            else:
-                parts.append({"kind": "bad_call", "id": None, "name": None, "value": canonical(m[1].strip()), "cites": []})
+        parts = [_call(m[1]) for m in CALL.finditer(text)]
         content = CALL.sub("", text).strip()
     elif role == "tool":
         found = _load(text)
         results = found if isinstance(found, list) else [found]
         if results and all(isinstance(r, dict) and r.get("tool_call_id") is not None for r in results):
-            return [{"kind": "result", "id": str(r["tool_call_id"]), "name": None, "value": canonical(r.get("content")), "cites": []} for r in results]
+            parts, content = [_part("result", canonical(r.get("content")), id=_id(r["tool_call_id"])) for r in results], None
     elif role == "system" and '"tools"' in text and isinstance(found := _load(text), dict) and isinstance(found.get("tools"), list):
         for tool in found["tools"]:
-            if isinstance(tool, dict) and isinstance(tool.get("name"), str):
-                parts.append({"kind": "tool", "id": None, "name": tool["name"], "value": canonical(tool.get("parameters", {})), "cites": []})
-    return [{"kind": "message", "id": None, "name": role, "value": canonical(content), "cites": []}, *parts]
+            ok = isinstance(tool, dict) and _unicode(tool.get("name"))
+            parts.append(_part("tool", canonical(tool.get("parameters", {})), tool["name"]) if ok else _part("bad_tool", canonical(tool)))
+    every = enumerate(parts if content is None else [_part("message", canonical(content), role), *parts])
+    return [(n, p) for n, p in every if linking is None or linking == (p["kind"] in LINKING)]
 
 
 def peel(table: pa.Table) -> pa.Table:
@@ -143,35 +213,62 @@ def peel(table: pa.Table) -> pa.Table:
     return pa.table({"l_conv": table["l_conv"], "l_id": table["l_id"], "at": pa.array(at, kinds["at"]), "done": pa.array(done, kinds["done"]), "level": pa.array(level, pa.int32()), "circular": pa.array([n > 0 for n in left], pa.bool_())})
 
 
+def in_force(calls: DataFrame, tools: DataFrame) -> DataFrame:
+    """calls with schema, that of the last definition of the call's tool at or before it (null: none).
+
+    The search has two levels, blocks of turns and turns inside a block, so that a conversation with
+    many calls of one tool is spread over tasks.
+    """
+    block = F.floor(F.col("turn").cast("double") / BLOCK_TURNS)
+    both = calls.withColumn("schema", F.lit(None).cast("string")).unionByName(tools.withColumn("schema", F.col("value"))).withColumn("block", block)
+    key = ("conv", "name")
+    blocks = both.groupBy(*key, "block").agg(F.max_by("schema", F.when(F.col("kind") == "tool", F.struct("turn", "part"))).alias("last"))
+    before = F.last("last", True).over(Window.partitionBy(*key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.withColumn("before", before).select(*(F.col(c).alias(f"b_{c}") for c in (*key, "block")), "before")
+    # A definition in the call's own turn counts if it stands before it.
+    inside = F.last("schema", True).over(Window.partitionBy(*key, "block").orderBy("turn", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    same = lambda c: F.col(c).eqNullSafe(F.col(f"b_{c}"))
+    found = both.withColumn("schema", inside).filter("kind = 'call'").join(blocks, same("conv") & same("name") & same("block"))
+    return found.withColumn("schema", F.coalesce("schema", "before")).select(*calls.columns, "schema")
+
+
 def link_calls(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv, turn, part, kind, status, order_turn, order_level and json of every part of every turn; sort by (conv, order_turn, order_level, turn, part)."""
     bounded_batches(conversations.sparkSession)
     rows = conversations.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     types = {c: rows.schema[c].dataType.simpleString() for c in ("conv", "turn")}
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(i, n, p) for i, (r, t) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)) for n, p in enumerate(parse(r, t))]
-            at = pa.array([i for i, _, _ in found], pa.int64())
-            yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array([n for _, n, _ in found], pa.int32()), *(pa.array([p[k] for _, _, p in found], pa.string()) for k in ("kind", "id", "name", "value")), pa.array([p["cites"] for _, _, p in found], pa.list_(pa.string()))], names=["conv", "turn", "part", "kind", "id", "name", "value", "cites"])
+    def split(linking: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [(i, n, p) for i, (r, t) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)) for n, p in parse(r, t, linking)]
+                at = pa.array([i for i, _, _ in found], pa.int64())
+                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array([n for _, n, _ in found], pa.int32()), *(pa.array([p[k] for _, _, p in found], pa.string()) for k in ("kind", "id", "name", "value")), pa.array([p["cites"] for _, _, p in found], pa.list_(pa.string()))], names=["conv", "turn", "part", "kind", "id", "name", "value", "cites"])
+
+        return run
 
-    parts = rows.mapInArrow(split, f"conv {types['conv']}, turn {types['turn']}, part int, kind string, id string, name string, value string, cites array<string>")
-    linking = saved(parts.filter("kind in ('call', 'result', 'tool')"))
-    plain = parts.filter("kind not in ('call', 'result', 'tool')").select("conv", "turn", "part", "kind", F.when(F.col("kind") == "bad_call", "malformed").otherwise("ok").alias("status"), F.col("turn").alias("order_turn"), F.lit(0).alias("order_level"), F.when(F.col("kind") == "message", F.concat(F.lit('{"content":'), "value", F.lit(',"role":'), F.to_json(F.struct(F.col("name").alias("r"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("name").alias("r")))) - 6), F.lit("}"))).otherwise(F.concat(F.lit('{"malformed":'), "value", F.lit("}"))).alias("json"))
+    schema = f"conv {types['conv']}, turn {types['turn']}, part int, kind string, id string, name string, value string, cites array<string>"
+    may_link = F.coalesce((F.col("role") == "tool") | (F.col("role") == "assistant") & F.contains("text", F.lit("<tool_call>")) | (F.col("role") == "system") & F.contains("text", F.lit('"tools"')), F.lit(False))
+    linking = saved(rows.filter(may_link).mapInArrow(split(True), schema))
+    quoted = lambda c: F.to_json(F.struct(F.col(c).alias("r"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col(c).alias("r")))) - 6)
+    text_of = F.when(F.col("kind") == "message", F.concat(F.lit('{"content":'), "value", F.lit(',"role":'), quoted("name"), F.lit("}"))).otherwise(F.concat(F.lit('{"malformed":'), "value", F.lit("}")))
+    plain = rows.mapInArrow(split(False), schema).select("conv", "turn", "part", "kind", F.when(F.col("kind") == "message", "ok").otherwise("malformed").alias("status"), F.col("turn").alias("order_turn"), F.lit(0).alias("order_level"), text_of.alias("json"))
 
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     calls = linking.filter("kind = 'call'")
     place = F.struct("turn", "part")
     firsts = calls.groupBy(F.col("conv").alias("f_conv"), F.col("id").alias("f_id")).agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    tools = linking.filter("kind = 'tool'").groupBy(F.col("conv").alias("t_conv"), F.col("name").alias("t_name")).agg(F.max(F.struct("turn", "part", "value")).alias("tool"))
+    tools = linking.filter("kind = 'tool'")
+    defining = tools.select(F.col("conv").alias("t_conv"), F.lit(True).alias("defines")).distinct()
     answers = linking.filter("kind = 'result'").groupBy(F.col("conv").alias("a_conv"), F.col("id").alias("a_id")).agg(F.min("turn").alias("answer_turn"))
     calls = (
-        calls.join(firsts, same("conv", "f_conv") & same("id", "f_id"))
-        .join(tools, same("conv", "t_conv") & same("name", "t_name"), "left")
+        in_force(calls, tools)
+        .join(firsts, same("conv", "f_conv") & same("id", "f_id"))
+        .join(defining, same("conv", "t_conv"), "left")
         .join(answers, same("conv", "a_conv") & same("id", "a_id"), "left")
-        .withColumn("is_first", F.col("first") == place)
+        .withColumn("is_first", F.col("first").eqNullSafe(place) & (F.row_number().over(Window.partitionBy("conv", "id", "turn", "part").orderBy("name", "value")) == 1))
     )
-    calls = saved(calls.select("conv", "turn", "part", "id", "name", "value", "cites", F.col("tool.value").alias("schema"), "is_first", F.col("a_id").isNotNull().alias("answered"), F.coalesce("answer_turn", "turn").alias("done")))
+    calls = saved(calls.select("conv", "turn", "part", "id", "name", "value", "cites", "schema", (F.col("schema").isNull() & F.col("defines").isNotNull()).alias("undefined"), "is_first", F.col("a_id").isNotNull().alias("answered"), F.coalesce("answer_turn", "turn").alias("done")))
 
     # Longest paths over citations, one step of every chain a round; most corpora need none.
     edges = saved(calls.filter("is_first").select(F.col("conv").alias("e_conv"), F.col("id").alias("e_id"), F.explode("cites").alias("cited")))
@@ -201,22 +298,27 @@ def link_calls(conversations: DataFrame, conv: str = "conv_id", turn: str = "tur
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, schemas = batch.column("value").to_pylist(), batch.column("schema").to_pylist()
-            wrong = ["; ".join(violations(json.loads(v), json.loads(s))) if s is not None else "" for v, s in zip(values, schemas, strict=True)]
-            lines = [canonical({"arguments": json.loads(v), "id": i, "name": n, "type": "tool_call"} | ({"errors": w} if w else {})) for v, i, n, w in zip(values, batch.column("id").to_pylist(), batch.column("name").to_pylist(), wrong, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv", "turn", "part", "id", "is_first", "answered")), pa.array([bool(w) for w in wrong], pa.bool_()), pa.array(lines, pa.string())], names=["conv", "turn", "part", "id", "is_first", "answered", "invalid", "json"])
+            states, lines = [], []
+            for v, i, n, s, undefined in zip(*(batch.column(c).to_pylist() for c in ("value", "id", "name", "schema", "undefined")), strict=True):
+                value, form = json.loads(v), json.loads(s or "{}")
+                wrong = malformed_keywords(form)
+                states.append("undefined" if undefined else "bad_schema" if wrong else "")
+                wrong = wrong or violations(value, form)
+                states[-1] = states[-1] or ("invalid" if wrong else "ok")
+                lines.append(canonical({"arguments": value, "id": i, "name": n, "type": "tool_call"} | ({"errors": "; ".join(wrong)} if wrong else {})))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv", "turn", "part", "id", "is_first", "answered")), pa.array(states, pa.string()), pa.array(lines, pa.string())], names=["conv", "turn", "part", "id", "is_first", "answered", "state", "json"])
 
-    checked = calls.mapInArrow(check, f"conv {types['conv']}, turn {types['turn']}, part int, id string, is_first boolean, answered boolean, invalid boolean, json string")
+    checked = calls.mapInArrow(check, f"conv {types['conv']}, turn {types['turn']}, part int, id string, is_first boolean, answered boolean, state string, json string")
     checked = checked.join(level, same("conv", "l_conv") & same("id", "l_id"), "left")
     if unresolved is not None:
         checked = checked.join(unresolved, same("conv", "u_conv") & same("id", "u_id"), "left")
     else:
         checked = checked.withColumn("unresolved", F.lit(False))
-    status = F.when(~F.col("is_first"), "duplicate").when(F.coalesce("unresolved", F.lit(False)), "unresolved").when(F.col("invalid"), "invalid").when(~F.col("answered"), "unanswered").otherwise("ok")
+    status = F.when(~F.col("is_first"), "duplicate").when(F.coalesce("unresolved", F.lit(False)), "unresolved").when(F.col("state") != "ok", F.col("state")).when(~F.col("answered"), "unanswered").otherwise("ok")
     order = F.when(F.col("is_first"), F.greatest("turn", F.coalesce("at", "turn"))).otherwise(F.col("turn"))
     call_rows = checked.select("conv", "turn", "part", F.lit("call").alias("kind"), status.alias("status"), order.alias("order_turn"), F.when(F.col("is_first"), F.coalesce("level", F.lit(0))).otherwise(0).alias("order_level"), "json")
     results = linking.filter("kind = 'result'").join(level, same("conv", "l_conv") & same("id", "l_id"), "left")
-    result_rows = results.select("conv", "turn", "part", F.lit("result").alias("kind"), F.when(F.col("l_id").isNull(), "orphan").otherwise("ok").alias("status"), F.greatest("turn", F.coalesce("at", "turn")).alias("order_turn"), (F.coalesce("level", F.lit(-1)) + 1).alias("order_level"), F.concat(F.lit('{"content":'), "value", F.lit(',"role":"tool","tool_call_id":'), F.to_json(F.struct(F.col("id").alias("r"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("id").alias("r")))) - 6), F.lit("}")).alias("json"))
-    tool_rows = linking.filter("kind = 'tool'").select("conv", "turn", "part", "kind", F.lit("ok").alias("status"), F.col("turn").alias("order_turn"), F.lit(0).alias("order_level"), F.concat(F.lit('{"name":'), F.to_json(F.struct(F.col("name").alias("r"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("name").alias("r")))) - 6), F.lit(',"parameters":'), "value", F.lit("}")).alias("json"))
+    result_rows = results.select("conv", "turn", "part", F.lit("result").alias("kind"), F.when(F.col("l_id").isNull(), "orphan").otherwise("ok").alias("status"), F.greatest("turn", F.coalesce("at", "turn")).alias("order_turn"), (F.coalesce("level", F.lit(-1)) + 1).alias("order_level"), F.concat(F.lit('{"content":'), "value", F.lit(',"role":"tool","tool_call_id":'), quoted("id"), F.lit("}")).alias("json"))
+    tool_rows = linking.filter("kind = 'tool'").select("conv", "turn", "part", "kind", F.lit("ok").alias("status"), F.col("turn").alias("order_turn"), F.lit(0).alias("order_level"), F.concat(F.lit('{"name":'), quoted("name"), F.lit(',"parameters":'), "value", F.lit("}")).alias("json"))
     every = plain.unionByName(call_rows).unionByName(result_rows).unionByName(tool_rows)
     return every.withColumnsRenamed({"conv": conv, "turn": turn}) if (conv, turn) != ("conv", "turn") else every
