@@ -6,6 +6,7 @@ Nothing here keeps state on one machine: scratch tables are Parquet in the folde
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,9 +18,12 @@ BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: the session's, or a new one where none is set."""
+    """The shared folder for intermediate tables: the session's. Only in local mode, where one
+    machine is all there is, an unset one is made; on a cluster it must be set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="pliego-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
@@ -34,8 +38,19 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes what saved() wrote for tables that nothing needs any more."""
+    for df in tables:
+        for file in df.inputFiles()[:1]:
+            folder = file.rsplit("/", 1)[0]
+            if "/pliego-" in folder:
+                path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Arrow batches small enough for a worker that holds some of them at once."""
+    """Arrow batches small enough for a worker that holds some of them at once. The settings are read when
+    a result is computed, after the caller has returned it, so they stay for the session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

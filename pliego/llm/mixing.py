@@ -12,13 +12,15 @@ document that ends a share u of the source's taken words stands at the t with W_
 inverts cumulative demand; sorting by t ranges all copies into training order. The n-th copy of a
 document ends n - 1 whole sources after its first, and the cut one where the target does.
 
-All of it is DataFrame work on narrow rows. The running sums inside a source are made in two
-levels, of fixed-size hash buckets and of rows inside a bucket, so that a source with a third of all
-documents is spread over as many tasks as its size asks for.
+All of it is DataFrame work on narrow rows, whose words are counted once and written to the scratch
+folder. The running sums inside a source are made in three levels: of rows inside a bucket of
+``bucket_rows`` of them, of buckets inside a group, and of groups, so that a source with a third of
+all documents is spread over as many tasks as its size asks for. Rows are dealt by source and bucket.
+The plan has one row a source, and is broadcast only up to ``BROADCAST_SOURCES`` of them.
 
 A null text has size 0 and is never taken. A null source is a source of its own, the last. Repeated
 rows are rows of their own, in an order that makes no difference between them. Empty tables give
-empty results. Other columns are not read.
+empty results. Columns named in ``keep`` travel along; others are not read.
 """
 
 from __future__ import annotations
@@ -26,13 +28,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pliego.llm.cluster import saved
+
 #: Weights of the sources in code-point order, repeating; share of all words in the budget; most
 #: copies of a source (and of a document).
 WEIGHTS, BUDGET, MAX_EPOCHS = (3, 1, 2), 1.5, 2
 #: Slopes of the sources' schedules, in the same order: rising, level, falling.
 SLOPES = (0.5, 0.0, -0.5)
+#: Where a place is cut to millionths: an odd fraction, so that no last bit decides.
+EDGE = 0.5378
 #: Rows in a bucket of the two-level running sum, about.
 BUCKET_ROWS = 2000
+#: Buckets in a group of the running sum, and sources of a plan that may be broadcast.
+GROUP_BUCKETS, BROADCAST_SOURCES = 1000, 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -64,21 +72,26 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET,
     return per.select("source", "n_docs", "source_size", "weight", "slope", target.alias("target"))
 
 
-def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", bucket_rows: int = BUCKET_ROWS, **how) -> DataFrame:
-    """key, source, size, source_size, target, taken, and what positions() needs, of every row of docs."""
+def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", bucket_rows: int = BUCKET_ROWS, keep: tuple[str, ...] = (), **how) -> DataFrame:
+    """key, source, size, source_size, target, taken, what positions() needs, and the columns of keep, of every row of docs."""
     rank = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    rows = docs.select(F.col(key).alias(key), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), rank.alias("rank"))
-    plan = targets(rows.select("source", "size"), **how)
+    rows = docs.select(F.col(key).alias(key), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), rank.alias("rank"), *(F.col(c).alias(f"_kept_{c}") for c in keep))
+    rows = saved(rows.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))))
+    plan = saved(targets(rows.select("source", "size"), **how).withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))).drop("source"))
+    plan = F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
     # A bucket is a range of ranks: its number follows from the rank and the source's row count.
     buckets = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / bucket_rows)).cast("long")
     part = F.floor(F.conv(F.substring("rank", 1, 8), 16, 10).cast("double") / float(1 << 32) * buckets).cast("long")
-    plan = plan.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
-    rows = rows.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
-    placed = rows.join(plan.drop("source"), "source_key").withColumn("part", part)
-    sums = placed.groupBy("source_key", "part").agg(F.sum("size").alias("part_size"))
-    sums = sums.withColumn("part_start", F.coalesce(F.sum("part_size").over(Window.partitionBy("source_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = rows.join(plan, "source_key").withColumn("part", part)
+    sums = placed.groupBy("source_key", "part").agg(F.sum("size").alias("part_size")).withColumn("group", F.floor(F.col("part") / GROUP_BUCKETS))
+    groups = sums.groupBy("source_key", "group").agg(F.sum("part_size").alias("group_size"))
+    so_far = lambda c, *by, over: F.coalesce(F.sum(c).over(Window.partitionBy(*by).orderBy(over).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = groups.select("source_key", "group", so_far("group_size", "source_key", over="group").alias("group_start"))
+    sums = sums.repartition("source_key", "group").withColumn("in_group", so_far("part_size", "source_key", "group", over="part")).join(groups, ["source_key", "group"])
+    sums = sums.select("source_key", "part", (F.col("group_start") + F.col("in_group")).alias("part_start"))
     inside = Window.partitionBy("source_key", "part").orderBy("rank", "size", key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = placed.withColumn("inside", F.sum("size").over(inside)).join(sums.select("source_key", "part", "part_start"), ["source_key", "part"])
+    # Dealt by both columns on both sides: the planner alone would deal a whole source to one task.
+    placed = placed.repartition("source_key", "part").withColumn("inside", F.sum("size").over(inside)).join(sums.repartition("source_key", "part"), ["source_key", "part"])
     whole = F.floor(F.col("target")).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(0).cast("long")
     before = F.col("part_start") + F.col("inside") - F.col("size")
@@ -87,7 +100,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
         placed.withColumn("epochs", epochs)
         .withColumn("before", before)
         .withColumn("taken", F.col("epochs") * F.col("size") + rest)
-        .select(key, "source", "size", "source_size", "target", "taken", "weight", "slope", "epochs", "before")
+        .select(key, "source", "size", "source_size", "target", "taken", "weight", "slope", "epochs", "before", *(F.col(f"_kept_{c}").alias(c) for c in keep))
     )
 
 
@@ -106,13 +119,17 @@ def positions(mixed: DataFrame) -> DataFrame:
     return mixed.withColumn("positions", every).withColumn("position", F.get("positions", F.lit(0)))
 
 
+def places(positions: Column) -> Column:
+    """positions as whole millionths of the training run, comma-joined: '' for a document not taken."""
+    return F.coalesce(F.array_join(F.transform(positions, lambda t: F.floor(t * 1e6 + EDGE).cast("string")), ","), F.lit(""))
+
+
 def in_training_order(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     """Range-sorted by the first copy's position; those not taken come last."""
     return positions(mixed).orderBy(F.col("position").asc_nulls_last(), key)
 
 
-#: DuckDB SQL of the contract's columns over documents(doc_id, text, source). {docs}: a table name.
-MIX_SQL = r"""
+_TAKEN_CTE = r"""
 with sized as (select doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) as rank,
     cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size from {docs}),
 per as (select source, sum(size) as source_size from sized group by source),
@@ -125,12 +142,22 @@ ranked as (select *, row_number() over (order by cap / weight, place) as n,
 levels as (select *, (goal - capped) / free as level from ranked),
 chosen as (select min_by(level, n) filter (where level * weight <= cap) as level from levels),
 goals as (select l.source, cast(l.source_size as bigint) as source_size,
-    case when c.level is null then l.cap else least(l.cap, c.level * l.weight) end as target from levels l, chosen c),
-placed as (select s.doc_id, s.size, g.source_size, g.target,
+    l.place, case when c.level is null then l.cap else least(l.cap, c.level * l.weight) end as target from levels l, chosen c),
+placed as (select s.doc_id, s.size, g.source_size, g.target, cast([0.5, 0.0, -0.5][cast((g.place) % 3 + 1 as int)] as double) as slope,
     sum(s.size) over (partition by s.source order by s.rank, s.size, s.doc_id rows between unbounded preceding and current row) - s.size as before,
     case when g.source_size > 0 then cast(floor(g.target) as bigint) // g.source_size else 0 end as epochs
-    from sized s join goals g on s.source is not distinct from g.source)
-select doc_id, size, source_size, target,
-    cast(epochs * size + least(size, greatest(0, cast(floor(target) as bigint) - epochs * source_size - before)) as bigint) as taken
-from placed
+    from sized s join goals g on s.source is not distinct from g.source),
+taken as (select *, cast(epochs * size + least(size, greatest(0, cast(floor(target) as bigint) - epochs * source_size - before)) as bigint) as taken from placed)
+"""
+#: DuckDB SQL of the contract's columns over documents(doc_id, text, source). {docs}: a table name.
+MIX_SQL = _TAKEN_CTE + "select doc_id, size, source_size, target, taken from taken"
+#: The same with the places of every copy.
+PLACES_SQL = (
+    _TAKEN_CTE
+    + """, shares as (select *, list_transform(case when taken > 0 then range(cast(epochs + (taken > epochs * size)::int as bigint)) else [] end,
+    lambda e: least(e * source_size + before + size, cast(floor(target) as bigint)) / cast(floor(target) as bigint)) as shares from taken)
+select doc_id, size, source_size, target, taken, coalesce(list_aggregate(list_transform(shares,
+    lambda u: cast(cast(floor((case when slope = 0 then u else (-(1 - slope) + sqrt((1 - slope) * (1 - slope) + 4 * slope * u)) / (2 * slope) end) * 1e6 + 0.5378) as bigint) as varchar)), 'string_agg', ','), '') as positions
+from shares
 """
+)

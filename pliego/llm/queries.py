@@ -48,7 +48,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixing.in_training_order(mixed).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.in_training_order(mixed).select("doc_id", "size", "source_size", "target", "taken", mixing.places(F.col("positions")).alias("positions"))
 
 
 def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +68,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ppm_scoring": op10_ppm_scoring,
 }
 
-ORACLES: dict[str, str] = {"op9_mixing": mixing.MIX_SQL.format(docs="documents")}
+ORACLES: dict[str, str] = {"op9_mixing": mixing.PLACES_SQL.format(docs="documents")}

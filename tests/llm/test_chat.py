@@ -181,7 +181,7 @@ def test_links_equal_brute_force(spark, monkeypatch, block):
     rnd = random.Random(block)
     forms = [{"type": "object", "required": ["a"]}, {"properties": {"a": {"type": "integer"}}}, {"enum": 5}, {}]
     rows = []
-    for conv in range(25):
+    for conv in range(70):
         for turn in range(rnd.randint(1, 9)):
             kind = rnd.random()
             if kind < 0.25 and conv % 3:
