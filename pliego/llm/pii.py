@@ -3,38 +3,50 @@
 Kinds: e-mail addresses, telephone numbers, payment cards (with a valid check digit), IPv4
 addresses, US social security numbers, and names after a form of address. A surrogate keeps what its
 kind shows: separators and letter case; an address's class (private, loopback, ...); a card's first
-digit, length and check digit; a number's country code; the letters-and-digits pattern of an e-mail's
-parts and its top-level domain; a name's script, gender and number of words.
-
-Surrogates are functions of a secret key and the normalised entity, so every mention of an entity in
-any document gets the same one (coreference) without a lookup. For all kinds but names they are
-fixed-point-free permutations of the entities of one format: two entities never meet, and none is
-left as it was. Names come from a finite set; ``collisions`` finds those that meet, from the distinct
-entities alone, and they move on to their next surrogate until none meets another.
+digit, length and check digit; a number's calling code; the letters-and-digits pattern of an e-mail's
+parts and its top-level domain; a name's script, gender, accents and number of words.
+
+Surrogates are functions of a secret key and the normalised entity alone: neither a table nor the
+rest of the corpus has a say, so every mention of an entity in any text, shard or run gets the same
+one (coreference), and two entities of a format never meet. Formats are permuted without fixed
+points. Names go word by word: the last is the family's, those before it are given names, whose
+ending shows the gender; so ``Mr. John Smith``, ``Dr. Smith`` and ``Ms. Smith`` share their family
+name's surrogate. A name in Latin, Cyrillic or Greek letters is numbered among all words of its
+alphabet, the numbers are permuted in ranges of made-up words of equally many syllables, and the
+word of the new number is taken; in other scripts each letter gives way to one of its block, by a
+permutation of all words of that pattern. As all detected entities are replaced, and
+one-to-one, a surrogate that happens to be another's entity in the input still stands for one entity in
+the output. ``collisions`` checks distinctness on a corpus, and ``replace`` stops if it is broken.
+
+A name found after a form of address is known to its text: further mentions of its family name, or of a
+given name of the text before it, are replaced as well where they stand as capitalised (or caseless) words.
+Where the form of address tells no gender, another mention's does. In scripts without spaces a
+name is a whole run of letters. An initial is replaced by another.
 
 Nulls stay null, empty texts stay empty, repeated rows get the same result, an empty table gives
-an empty one. In ``replace`` other columns stay as they are.
+an empty one. In ``replace`` other columns stay as they are, but for one named pii_spans, which is replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
-import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pliego.llm.cluster import bounded_batches, saved
+from pliego.llm.cluster import bounded_batches
 
 #: A documented test key. Production passes its own.
 TEST_KEY = b"not a secret: for tests and examples"
-#: Syllables of a family name; names that a broadcast table of moved ones may hold.
-SYLLABLES, MOVED = 4, 200_000
+#: Syllables of a made-up family name and of a given one's stem, at least.
+SYLLABLES, STEM_SYLLABLES = 4, 2
 
 #: Forms of address by gender (m, f, or either).
 ADDRESS = {
@@ -42,22 +54,37 @@ ADDRESS = {
     "f": ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "Госпожа", "Κυρία"),
     "x": ("Dr", "Prof", "Professor", "Mx"),
 }
-GENDER = {word: g for g, words in ADDRESS.items() for word in words}
-#: Consonants, vowels and gendered endings of made-up names in three scripts.
+#: Those that also count in capitals.
+IN_CAPITALS = ("Mr", "Mrs", "Dr", "Prof", "Herr", "Frau")
+GENDER = {word: g for g, words in ADDRESS.items() for word in words} | {w.upper(): g for g, words in ADDRESS.items() for w in words if w in IN_CAPITALS}
+#: Consonants, vowels, vowels that show an accent, and gendered endings of made-up names in three scripts.
 SCRIPTS = {
-    "latin": ("bdfgklmnprstvz", "aeiou", {"m": "n", "f": "a", "x": "e"}),
-    "cyrillic": ("бвгдзклмнпрстф", "аеиоу", {"m": "н", "f": "я", "x": "и"}),
-    "greek": ("βγδζθκλμνπρστφ", "αεηιο", {"m": "ς", "f": "α", "x": "ι"}),
+    "latin": ("bdfgklmnprstvz", "aeiou", "áéíóú", {"m": "n", "f": "a", "x": "e"}),
+    "cyrillic": ("бвгдзклмнпрстф", "аеиоу", "яєіёю", {"m": "н", "f": "я", "x": "и"}),
+    "greek": ("βγδζθκλμνπρστφ", "αεηιο", "άέήίό", {"m": "ς", "f": "α", "x": "ι"}),
 }
+#: Plain letters of those scripts, and the code points among which their further letters are.
+LETTERS = {"latin": ("abcdefghijklmnopqrstuvwxyz", ((0xDF, 0x250), (0x1E00, 0x1F00))), "cyrillic": ("абвгдежзийклмнопрстуфхцчшщъыьэюя", ((0x430, 0x530),)), "greek": ("αβγδεζηθικλμνξοπρσςτυφχψω", ((0x370, 0x400), (0x1F00, 0x2000)))}
+#: Ranges of code points whose letters stand for one another, besides blocks of 256.
+WIDE = ((0x4E00, 0x9FA6), (0xAC00, 0xD7A4))
+#: Calling codes of two digits. Those of one digit are 1 and 7, all others have three.
+TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 
 EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])", re.ASCII)
 IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)", re.ASCII)
 CARD = re.compile(r"(?<![\w.-])[1-9](?:[ -]?\d){12,18}(?![\w-]|\.\d)", re.ASCII)
 SSN = re.compile(r"(?<![\w.-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])", re.ASCII)
-PHONE = re.compile(r"(?<![\w.])(?:\+[1-9]\d{0,2}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}[ .-]\d{3,4}(?:[ .-]\d{2,4})?(?![\w-])|(?<![\w.])\+[1-9]\d{7,14}(?!\d)", re.ASCII)
-_WORD = r"[^\W\d_][^\W\d_'’-]+"
-NAME = re.compile(r"\b(" + "|".join(sorted(GENDER, key=len, reverse=True)) + r")\b\.?[  ]((?:" + _WORD + r")(?:[  -](?:" + _WORD + r")){0,2})")
-HINT = re.compile(r"[@\d]|\b(?:" + "|".join(sorted(GENDER)) + r")\b")
+PHONE = re.compile(
+    r"(?<![\w.])(?:\+[1-9]\d{0,2}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}[ .-]\d{3,4}(?:[ .-]\d{2,4})?(?![\w-])"
+    r"|(?<![\w.])\+[1-9]\d{0,2}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{1,5}(?:[ .-]\d{2,5}){1,5}(?![\w-])|(?<![\w.])\+[1-9]\d{7,14}(?!\d)",
+    re.ASCII,
+)
+_WORD = r"\p{L}[\p{L}\p{M}]*(?:['’]\p{Lu}[\p{L}\p{M}]*)*"
+TITLE = regex.compile(r"(?<![\p{L}\p{M}\p{N}_])(" + "|".join(sorted(GENDER, key=len, reverse=True)) + r")(?![\p{L}\p{M}\p{N}_])\.?[ \u00a0]")
+NAME_WORD = regex.compile(r"\p{Lu}\.(?=[ \u00a0]\p{L})|" + _WORD)
+WORD = regex.compile(_WORD)
+HINT = re.compile(r"[@\d]|(?:" + "|".join(sorted(GENDER)) + r")")
+MOST_NAME_WORDS = 4
 
 
 class Entity(NamedTuple):
@@ -78,16 +105,51 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
 
+def _calling_code(digits: str) -> int:
+    """Digits of the calling code that an international number starts with."""
+    return 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGIT_CODES else 3
+
+
+def _same(word: str) -> str:
+    """What a name's word is known as, in any case and composition."""
+    return unicodedata.normalize("NFC", word.lower())
+
+
+def name_words(name: str) -> list[str]:
+    """Words and what separates them, in turn."""
+    return regex.split(r"([ \u00a0-])", name)
+
+
+def _capital(word: str) -> bool:
+    return not word[0].islower()
+
+
+def _titled(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and gender of each name after a form of address."""
+    for m in TITLE.finditer(text):
+        at = end = m.end()
+        for _ in range(MOST_NAME_WORDS):
+            w = NAME_WORD.match(text, at)
+            if not w or not _capital(w[0]) or w[0] in GENDER:
+                break
+            end = w.end()
+            if text[end : end + 1] not in ("\u00a0", " ", "-"):
+                break
+            at = end + 1
+        if end > m.end():
+            yield m.end(), end, GENDER[m[1]]
+
+
 def entities(text: str) -> list[Entity]:
     """All entities of a text, leftmost first; where kinds overlap, the first kind listed stays."""
     if not HINT.search(text):
         return []
     found: list[Entity] = []
-    taken: list[tuple[int, int]] = []
+    taken = bytearray(len(text))
 
     def add(start: int, end: int, kind: str, known: str) -> None:
-        if all(end <= a or start >= b for a, b in taken):
-            taken.append((start, end))
+        if not any(taken[start:end]):
+            taken[start:end] = b"\1" * (end - start)
             found.append(Entity(start, end, kind, text[start:end], known))
 
     if "@" in text:
@@ -101,16 +163,32 @@ def entities(text: str) -> list[Entity]:
     for m in SSN.finditer(text):
         add(*m.span(), "ssn", _digits(m[0]))
     for m in PHONE.finditer(text):
-        if 8 <= len(_digits(m[0])) <= 15:
-            add(*m.span(), "phone", _digits(m[0]))
-    for m in NAME.finditer(text):
-        words = re.split(r"([  -])", m[2])
-        n = 0
-        while n < len(words) and words[n][:1].isupper():
-            n += 2
-        name = "".join(words[: max(0, n - 1)])
-        if name:
-            add(m.start(2), m.start(2) + len(name), f"name_{GENDER[m[1]]}", name.lower())
+        digits = _digits(m[0])
+        if 8 <= len(digits) <= 15:
+            add(*m.span(), "phone", "+" * (m[0][0] == "+" or len(digits) == 11 and digits[0] == "1") + digits)
+    titled = list(_titled(text))
+    if titled:
+        family: dict[str, str] = {}
+        given: set[str] = set()
+        for start, end, g in titled:
+            words = [_same(w) for w in name_words(text[start:end])[::2]]
+            given.update(words[:-1])
+            family[words[-1]] = g if g != "x" or words[-1] not in family else family[words[-1]]
+        spans = [(start, end) for start, end, _ in titled]
+        at, more, last = 0, [], None
+        for m in WORD.finditer(text):
+            while at < len(titled) and titled[at][1] <= m.start():
+                at += 1
+            inside = at < len(titled) and titled[at][0] <= m.start()
+            if not inside and _capital(m[0]) and _same(m[0]) in family:
+                start = m.start()
+                if last and last.end() + 1 == start and text[start - 1] in " \u00a0-" and _capital(last[0]) and _same(last[0]) in given and not any(taken[last.start() : start]):
+                    start = last.start()
+                more.append((start, m.end()))
+            last = m
+        for start, end in spans + more:
+            words = name_words(text[start:end])
+            add(start, end, f"name_{family[_same(words[-1])]}", "".join(map(_same, words)))
     return sorted(found)
 
 
@@ -164,7 +242,7 @@ def _filled(pattern: str, digits: str) -> str:
 
 
 def _letters(keyed: Keyed, text: str, tweak: str) -> str:
-    """A permutation of the strings of one letters-and-digits pattern."""
+    """A permutation of the strings of one pattern of ASCII letters and digits."""
     sizes = [10 if c.isdigit() else 26 if c.isalpha() else 1 for c in text]
     n = x = 0
     n = 1
@@ -186,37 +264,81 @@ def ip_class(x: int) -> str:
     return "public/0"
 
 
-def _script(name: str) -> str:
-    return "cyrillic" if "Ѐ" <= name[0] <= "ӿ" else "greek" if "Ͱ" <= name[0] <= "Ͽ" else "latin"
+@lru_cache(None)
+def _alphabet(script: str, plain: bool) -> dict[str, int]:
+    letters, ranges = LETTERS[script]
+    if not plain:
+        letters += "".join(c for a, b in ranges for c in map(chr, range(a, b)) if c.islower() and len(c.upper()) == 1 and c not in letters)
+    return {c: i for i, c in enumerate(letters)}
+
+
+@lru_cache(4096)
+def _block(letter: str) -> tuple[str, ...]:
+    """The caseless letters that stand for one another with this one; itself alone if it is none."""
+    cp = ord(letter)
+    a, b = next(((a, b) for a, b in WIDE if a <= cp < b), (cp >> 8 << 8, (cp >> 8) + 1 << 8))
+    like = tuple(c for c in map(chr, range(a, b)) if unicodedata.category(c) in ("Lo", "Ll", "Lm"))
+    return like if letter in like else (letter,)
+
+
+def _made_word(keyed: Keyed, word: str, role: str, least: int) -> str:
+    """Another word for one of a name's: made of syllables in the three scripts, a permuted one in others."""
+    for script, (consonants, vowels, accented, _) in SCRIPTS.items():
+        for plain in (True, False):
+            alphabet = _alphabet(script, plain)
+            if all(c in alphabet for c in word):
+                x = 0
+                for c in word:
+                    x = x * len(alphabet) + alphabet[c] + 1
+                size = len(consonants) * len(vowels)
+                k = least
+                while x >= size**k:
+                    x -= size**k
+                    k += 1
+                y = keyed.permute(x, size**k, f"{role}{script}{plain}{k}")
+                made = []
+                for i in range(k):
+                    y, c = divmod(y, len(consonants))
+                    y, v = divmod(y, len(vowels))
+                    made.append(consonants[c] + (accented if not plain and i == 0 else vowels)[v])
+                return "".join(made)
+    blocks = [_block(c) for c in word]
+    x, n = 0, 1
+    for c, like in zip(word, blocks, strict=True):
+        x, n = x * len(like) + like.index(c), n * len(like)
+    y = keyed.permute(x, n, f"{role}" + "".join(like[0] for like in blocks))
+    out = []
+    for like in reversed(blocks):
+        y, d = divmod(y, len(like))
+        out.append(like[d])
+    return "".join(reversed(out))
 
 
-def _made_name(keyed: Keyed, name: str, gender: str, attempt: int, syllables: int) -> str:
-    """As many words as the name has; the ending of the first of several shows the gender."""
-    words = re.split(r"([  -])", name)
-    consonants, vowels, endings = SCRIPTS[_script(name)]
-    x = keyed.number("name", gender, name, attempt)
-    out = []
-    for i, word in enumerate(words):
-        if i % 2:
-            out.append(word)
-            continue
-        made = ""
-        for _ in range(2 if len(words) > 1 and i == 0 else syllables):
-            x, c = divmod(x, len(consonants))
-            x, v = divmod(x, len(vowels))
-            made += consonants[c] + vowels[v]
-        out.append(made + endings[gender] if len(words) > 1 and i == 0 else made)
+def _made_name(keyed: Keyed, name: str, gender: str, syllables: int) -> str:
+    """Word by word: the last is the family's, the others' endings show the gender."""
+    words = name_words(name)
+    out = list(words)
+    for i in range(0, len(words), 2):
+        pieces = regex.split("(['’])", words[i])
+        if words[i].endswith("."):
+            out[i] = _made_word(keyed, words[i][0], "initial", 1)[0] + "."
+        elif i == len(words) - 1:
+            out[i] = "".join(p if j % 2 else _made_word(keyed, p, "family", syllables) for j, p in enumerate(pieces))
+        else:
+            made = "".join(p if j % 2 else _made_word(keyed, p, "given", STEM_SYLLABLES) for j, p in enumerate(pieces))
+            script = next((s for s in SCRIPTS if all(c in _alphabet(s, False) or c in "'’" for c in words[i])), None)
+            out[i] = made + SCRIPTS[script][3][gender] if script else made
     return "".join(out)
 
 
 def _cased(made: str, shown: str) -> str:
-    if shown.isupper():
+    if shown.isupper() and len(shown) > 1:
         return made.upper()
-    return "".join(w.capitalize() for w in re.split(r"([  -])", made))
+    return "".join(w[:1].upper() + w[1:] if x[:1].isupper() or x[:1] != x[:1].lower() else w for w, x in zip(regex.split(r"([ \u00a0'’-])", made), regex.split(r"([ \u00a0'’-])", shown), strict=True))
 
 
 @lru_cache(200_000)
-def _known_surrogate(key: bytes, kind: str, known: str, attempt: int, syllables: int) -> str:
+def _known_surrogate(key: bytes, kind: str, known: str, syllables: int) -> str:
     keyed = Keyed(key)
     if kind == "email":
         local, _, domain = known.partition("@")
@@ -236,17 +358,19 @@ def _known_surrogate(key: bytes, kind: str, known: str, attempt: int, syllables:
         ok = lambda x: (s := str(x).zfill(9))[:3] not in ("000", "666") and s[0] != "9" and s[3:5] != "00" and s[5:] != "0000"
         return str(keyed.permute(int(known), 10**9, "ssn", ok)).zfill(9)
     if kind == "phone":
-        # A +1 number keeps its country code; any other keeps its first two digits.
-        lead = 1 if len(known) == 11 and known[0] == "1" else 2 if len(known) > 10 else 0
-        n = len(known) - lead
-        first = known[lead] in "01"
-        return known[:lead] + str(keyed.permute(int(known[lead:]), 10**n, f"phone{len(known)}{known[:lead]}", lambda x: (str(x).zfill(n)[0] in "01") == first)).zfill(n)
-    return _made_name(keyed, known, kind[-1], attempt, syllables)
+        digits = known.lstrip("+")
+        lead = min(_calling_code(digits), len(digits) - 4) if known[0] == "+" else 0
+        n = len(digits) - lead
+        first = digits[lead] in "01"
+        return digits[:lead] + str(keyed.permute(int(digits[lead:]), 10**n, f"phone{len(known)}{known[:1]}{digits[:lead]}", lambda x: (str(x).zfill(n)[0] in "01") == first)).zfill(n)
+    if kind in ("family", "given"):
+        return _made_word(keyed, known, kind, syllables if kind == "family" else STEM_SYLLABLES)
+    return _made_name(keyed, known, kind[-1], syllables)
 
 
-def surrogate(key: bytes, e: Entity, attempt: int = 0, syllables: int = SYLLABLES) -> str:
+def surrogate(key: bytes, e: Entity, syllables: int | None = None) -> str:
     """e's replacement, in e's own format."""
-    made = _known_surrogate(key, e.kind, e.known, attempt, syllables)
+    made = _known_surrogate(key, e.kind, e.known, syllables or SYLLABLES)
     if e.kind == "email":
         return "".join(m.upper() if s.isupper() else m for m, s in zip(made, e.shown, strict=True))
     if e.kind in ("card", "ssn", "phone"):
@@ -254,13 +378,21 @@ def surrogate(key: bytes, e: Entity, attempt: int = 0, syllables: int = SYLLABLE
     return made if e.kind == "ip" else _cased(made, e.shown)
 
 
+def identities(e: Entity) -> list[tuple[str, str]]:
+    """(kind, known) of what must stay distinct: the entity, or the words of a name."""
+    if not e.kind.startswith("name"):
+        return [(e.kind, e.known)]
+    words = [w for w in name_words(e.known)[::2] if not w.endswith(".")]
+    return [("given" if i < len(words) - 1 else "family", p) for i, w in enumerate(words) for p in regex.split("['’]", w)]
+
+
 def distinct_entities(docs: DataFrame, text: str) -> DataFrame:
     """(kind, known) of every distinct entity; a task sends each once."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[str, str]] = set()
         for batch in batches:
-            new = {(e.kind, e.known) for t in batch.column(0).to_pylist() if t for e in entities(t)} - seen
+            new = {x for t in batch.column(0).to_pylist() if t for e in entities(t) for x in identities(e)} - seen
             seen |= new
             if len(seen) > 500_000:
                 seen.clear()
@@ -270,65 +402,46 @@ def distinct_entities(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(collect, "kind string, known string").distinct()
 
 
-def with_surrogates(found: DataFrame, key: bytes, syllables: int) -> DataFrame:
-    """found(kind, known, attempt) with surrogate."""
+def with_surrogates(found: DataFrame, key: bytes) -> DataFrame:
+    """found(kind, known) with surrogate."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, knowns, attempts = (c.to_pylist() for c in batch.columns)
-            yield pa.record_batch([*batch.columns, pa.array([_known_surrogate(key, k, n, a, syllables) for k, n, a in zip(kinds, knowns, attempts, strict=True)], pa.string())], names=["kind", "known", "attempt", "surrogate"])
+            yield pa.record_batch([*batch.columns, pa.array([_known_surrogate(key, k, n, SYLLABLES) for k, n in zip(*(c.to_pylist() for c in batch.columns), strict=True)], pa.string())], names=["kind", "known", "surrogate"])
 
-    return found.select("kind", "known", "attempt").mapInArrow(make, "kind string, known string, attempt int, surrogate string")
+    return found.select("kind", "known").mapInArrow(make, "kind string, known string, surrogate string")
 
 
-def collisions(made: DataFrame) -> DataFrame:
-    """The entities that share a surrogate with a smaller one of their group of kinds."""
-    group = F.when(F.col("kind").startswith("name"), "name").otherwise(F.col("kind"))
-    first = made.groupBy(group.alias("group"), "surrogate").agg(F.min(F.struct("attempt", "kind", "known")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return made.withColumn("group", group).join(first, ["group", "surrogate"]).filter((F.col("first.kind") != F.col("kind")) | (F.col("first.known") != F.col("known"))).select("kind", "known", "attempt")
+def collisions(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
+    """kind, surrogate and n of the surrogates that n > 1 entities of the corpus share, or that equal their own entity: none, or the keyed permutations are broken."""
+    made = with_surrogates(distinct_entities(docs, text), key)
+    return made.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.max((F.col("surrogate") == F.col("known")).cast("int")).alias("same")).filter("n > 1 or same = 1 and kind not in ('family', 'given')").drop("same")
 
 
-def moved_names(docs: DataFrame, key: bytes, text: str = "text") -> tuple[dict[tuple[str, str], int], int]:
-    """Attempts of the names that others had to give way to, and the syllables at which those are few enough to broadcast."""
-    found = saved(distinct_entities(docs, text).withColumn("attempt", F.lit(0)))
-    syllables = SYLLABLES
-    while True:
-        now, moved = found, {}
-        while True:
-            clash = saved(collisions(with_surrogates(now, key, syllables)))
-            n = clash.count()
-            if not n:
-                return moved, syllables
-            if n + len(moved) > MOVED:
-                break
-            moved |= {(r.kind, r.known): r.attempt + 1 for r in clash.collect()}
-            up = clash.select("kind", "known", F.lit(1).alias("up"))
-            now = saved(now.join(up, ["kind", "known"], "left").select("kind", "known", (F.col("attempt") + F.coalesce("up", F.lit(0))).alias("attempt")))
-        syllables += 1  # longer names meet less often
-
-
-def rewrite(text: str, key: bytes, moved: dict[tuple[str, str], int], syllables: int) -> tuple[str, list[Entity]]:
+def rewrite(text: str, key: bytes) -> tuple[str, list[Entity]]:
+    """text with its entities replaced, and the entities."""
     found = entities(text)
     out, at = [], 0
     for e in found:
-        out += [text[at : e.start], surrogate(key, e, moved.get((e.kind, e.known), 0), syllables)]
+        out += [text[at : e.start], surrogate(key, e)]
         at = e.end
     return "".join(out) + text[at:], found
 
 
-def replace(docs: DataFrame, key: bytes = TEST_KEY, text: str = "text") -> DataFrame:
-    """docs with every entity of its texts replaced, and pii_spans (kind:start:end in the old text, comma-joined)."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    model = spark.sparkContext.broadcast(moved_names(docs, key, text))
-    place = docs.columns.index(text)
+def replace(docs: DataFrame, key: bytes = TEST_KEY, text: str = "text", check: bool = True) -> DataFrame:
+    """docs with every entity of its texts replaced, and pii_spans (kind:start:end in the old text, comma-joined).
+
+    check: look for collisions among the entities of all texts first, and raise if there are any.
+    """
+    bounded_batches(docs.sparkSession)
+    if check and not (broken := collisions(docs, key, text)).isEmpty():
+        raise ValueError(f"surrogates collide: {broken.first()}")
     columns = [c for c in docs.columns if c != "pii_spans"]
     place = columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moved, syllables = model.value
         for batch in batches:
-            done = [(None, []) if t is None else rewrite(t, key, moved, syllables) for t in batch.column(place).to_pylist()]
+            done = [(None, []) if t is None else rewrite(t, key) for t in batch.column(place).to_pylist()]
             field = batch.schema.field(place)
             batch = batch.set_column(place, field, pa.array([t for t, _ in done], field.type))
             spans = [",".join(f"{e.kind}:{e.start}:{e.end}" for e in found) for _, found in done]
