@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pliego.llm.cluster import bounded_batches
+from pliego.llm.cluster import bounded_batches, saved
 
 #: Pre-tokens in the broadcast table, in one partition's summary, and in a worker's cache. These
 #: bound memory and change no count. A cached pre-token has CACHED_CHARS characters at most.
@@ -29,9 +29,9 @@ FAN_IN = 32
 #: A text of more characters than this is matched piece by piece, not as a list.
 LONG_TEXT = 1 << 20
 
-#: Code points on which the matcher below and the library's own agree on letters, numbers and
-#: spaces (they follow different Unicode versions); a text with any other goes to the library whole.
-OTHER_CODE_POINTS = regex.compile(r"[^\x00-՗‐-⁤₠-₿ぁ-ゖァ-ヺ一-龥가-힣]")
+#: Code points on which the matcher below and the library's own may disagree on letters, numbers and spaces,
+#: as they follow different Unicode versions (a test holds both against each other); a text with one of them goes to the library whole.
+OTHER_CODE_POINTS = regex.compile("[\u0558\u058b\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7c0-\ua7ff\uab6c\uab6d\U00010000-\U0001efff\U00020000-\U0010ffff]")
 
 
 class Encoder:
@@ -108,11 +108,10 @@ def frequent_pieces(texts: DataFrame, pattern: str, size: int = TABLE_SIZE) -> l
         yield _summary(counts, 4 * SUMMARY_SIZE)
 
     schema = "piece array<string>, n array<long>"
-    parts = texts.rdd.getNumPartitions()
-    summaries = texts.mapInArrow(summarise, schema)
-    while parts > FAN_IN:
-        parts = -(-parts // FAN_IN)
-        summaries = summaries.repartition(parts).mapInArrow(merge, schema)
+    # Bounded summaries go through the scratch folder, FAN_IN to a task: there is no exchange, and no text's pre-token leaves its task.
+    summaries = saved(texts.mapInArrow(summarise, schema))
+    while (parts := summaries.rdd.getNumPartitions()) > 1 and summaries.count() > FAN_IN:
+        summaries = saved(summaries.coalesce(-(-parts // FAN_IN)).mapInArrow(merge, schema))
     counts: Counter = Counter()
     for row in summaries.collect():  # FAN_IN rows at most, each of a bounded size
         for k, n in zip(row.piece, row.n, strict=True):

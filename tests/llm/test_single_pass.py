@@ -56,6 +56,27 @@ def test_pieces_agree_with_the_library():
             assert own.findall(s) == [s[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(s)], hex(cp)
 
 
+def test_pieces_agree_with_the_library_in_every_plane():
+    from public_tokenizers import PATTERN, path
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(path("byte_bpe_50k.json")), token_counts.regex.compile(PATTERN)
+    for cp in [*range(1, 0xD800, 3), *range(0xE000, 0x20000, 3)]:
+        s = f"a{chr(cp)}1{chr(cp)}  {chr(cp)}{chr(cp)}!{chr(cp)} {chr(cp)}"
+        if not token_counts.OTHER_CODE_POINTS.search(s):
+            assert own.findall(s) == [s[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(s)], hex(cp)
+
+
+def test_token_counts_of_many_partitions_and_long_texts(spark, monkeypatch):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    rows = [(i, f"word{i % 7} نص {i} हिन्दी " * 3, "en", "a", 1) for i in range(90)] + [(500, "lang und breit, 1234! " * 60_000, "de", "a", 1)]
+    library = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    got = token_counts.count_tokens(spark.createDataFrame(rows, DOCS).repartition(70), path("byte_bpe_50k.json"), 512).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {r[0]: len(library.encode(r[1], add_special_tokens=False).ids) for r in rows}
+
+
 def base_secrets(text):
     found = [("assign", *m.span()) for m in re.finditer(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 6]
     found += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
@@ -143,6 +164,7 @@ def test_languages_and_mixtures(spark):
     share = dict(x.split(":") for x in got[1000].languages.split(","))
     assert set(share) == {"aa", "bb"} and abs(float(share["aa"]) - 0.6) < 0.1
     assert got[1001].lang_pred == got[1002].lang_pred == "und" and got[1002].score == 0
+    assert got[0].score > 0.9 and 0 < got[1000].score < 0.8
     nothing = language.identify(spark.createDataFrame([(1, "abc", None, "s", 1)], DOCS)).collect()
     assert nothing[0].lang_pred == "und"
     assert language.identify(spark.createDataFrame([], DOCS)).count() == 0
@@ -186,3 +208,21 @@ def test_mix_equals_its_sql(spark, bucket_rows):
     at = [r.position for r in mixed if r.position is not None]
     assert at == sorted(at) and all(0 <= x <= 1 for x in at)
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_language_slices_doubt_and_many_languages(spark, monkeypatch):
+    rnd = random.Random(15)
+    vocabulary = {f"l{i:02d}": ["".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(20)] for i in range(40)}
+    rows = [(i, " ".join(rnd.choice(vocabulary[x]) for _ in range(25)), x, "s", 1) for i, x in enumerate(list(vocabulary) * 6)]
+    rows += [(2000, vocabulary["l00"][0], None, "s", 1), (2001, "abc", None, "s", 1), (2002, " ".join(rnd.choice(vocabulary["l07"]) for _ in range(200_000)), None, "s", 1), (2003, "", "", "s", 1), (2004, "  é ", "l01", "s", 1)]
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
+    assert all(got[i].lang_pred == rows[i][2] for i in range(240))
+    assert got[2002].lang_pred == "l07" and got[2002].score > got[2000].score > got[2001].score
+    assert got[2003].lang_pred == "und" and got[2004].lang_pred != "und"
+    langs, likelihood = ["a", "b"], np.log(np.random.default_rng(1).random((2, language.BUCKETS)) + 0.1).astype(np.float32)
+    texts = pa.array([r[1] for r in rows[:50]] + [None, "", "1 2"])
+    whole = language.infer(texts, likelihood)
+    monkeypatch.setattr(language, "SLICE", 300)
+    for a, b in zip(whole, language.infer(texts, likelihood), strict=True):
+        assert (a is None) == (b is None) and (a is None or np.allclose(a[0], b[0], atol=1e-4) and abs(a[1] - b[1]) < 1e-3)
+    assert len(langs) == 2
