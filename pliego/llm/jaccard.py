@@ -14,17 +14,26 @@ suggests, and never misses a pair that links:
   at least two parts are not empty; any other set also signs its prefix (the 1/5 of its shingles
   with the smallest hashes, and one more), which two such sets share if they link.
 
-Sets with equal shingles are one node, so copies never meet in pairs. Signatures travel packed, a
-row for each task and range of signatures; one that many sets of a task share is collapsed there
-to a single forwarded entry. Sets that share a signature form a bucket. In rounds, each set is
-compared inside its buckets with the first set of another component that a parity sketch can't rule
-out (the sketches' distance never exceeds the sets'), the few that remain are checked on their whole
-sets, and components are merged, until no bucket holds an unchecked pair of two components. The work is
-linear in a bucket whose sets are alike, and no pair that could link is left out.
+Words, shingles and sets go by 64-bit hashes: two that share one count as equal. Sets with equal
+shingles are one node, so copies never meet in pairs. Signatures travel packed, a row for each task
+and range of signatures; one that many sets of a task share is collapsed there to a single forwarded
+entry. Beyond ``COARSE`` ranges they are dealt in two exchanges, so that a packed row keeps its size.
+
+Sets that share a signature form a bucket. In rounds, each set is compared inside its buckets with the
+first sets of another component that a parity sketch can't rule out (the sketches' distance never
+exceeds the sets'), the few that remain are checked on their whole sets, and components are merged, until
+no bucket holds an unchecked pair of two components. A search stops at its first finds, so the work is
+linear in a bucket whose sets are alike; and no pair that could link is left out.
+
+No task holds more than about ``BUCKET`` sets of a bucket. The sets of a larger one all meet its first;
+that alone settles a group of near copies. Where several components are left (texts around one
+boilerplate, say), the sets are dealt again by their prefix in the order of rarity, in which shared
+shingles come last; and what is too large even so is compared block by block, each pair of blocks in a
+task of its own.
 
 Nulls and texts without words have empty sets and link with nothing. A text of fewer words than a
 shingle has its whole sequence as one. Repeated rows get the same component. An empty table gives an
-empty one. Other columns are not read.
+empty one. Other columns are not read; in ``keep_one`` they stay as they are.
 """
 
 from __future__ import annotations
@@ -35,10 +44,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pliego.llm.cluster import bounded_batches, saved
+from pliego.llm.cluster import bounded_batches, dropped, salted_join, saved
 from pliego.llm.words import U64, mix, split_words, text_bytes, windows, word_hashes
 
 WORDS = 5
@@ -50,8 +59,12 @@ BAND_RATIO, SLACK = 1.5, 1.15
 FLUSH, RANGE = 1_500_000, 1_500_000
 #: Sets of one task that share a signature before they are collapsed to one forwarded entry.
 HOT = 64
-#: Sets of a bucket that one task compares; larger buckets go hub by hub.
+#: Ranges that one exchange deals to; beyond it, a second follows.
+COARSE = 2048
+#: Sets of a bucket that one task compares, about.
 BUCKET = 20_000
+#: Sets from which the order of rarity is drawn, and its shingles: they decide on speed alone.
+SAMPLED, COMMON = 20_000, 500_000
 #: Keys of needed sets that are broadcast, of 8 bytes each; beyond it, both sides are shuffled.
 NEEDED = 500_000
 #: Others that a set tries in one bucket grow by this from round to round, so that one which many
@@ -129,7 +142,7 @@ def signatures(s: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U64)
 
 
-def described(docs: DataFrame, text: str, key: str) -> DataFrame:
+def described(docs: DataFrame, text: str, key: str, row: Column | None = None) -> DataFrame:
     """key, row_key, n_shingles, set_key and sketch of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,37 +150,49 @@ def described(docs: DataFrame, text: str, key: str) -> DataFrame:
             sets = sets_of(batch.column(2))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], names=["key", "row_key", "n_shingles", "set_key", "sketch"])
 
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(key, text).alias("row_key"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), (F.xxhash64(key, text) if row is None else row).alias("row_key"), F.col(text).alias("text"))
     return rows.mapInArrow(describe, f"key {rows.schema['key'].dataType.simpleString()}, row_key long, n_shingles long, set_key long, sketch binary")
 
 
 _PACKED = "range int, kind int, sigs binary, who binary, keys binary"
+#: Kinds of packed rows: entries by the low half of their signature or by all of it, members of a hot signature, its forwarded entry.
+ENTRIES, MEMBERS, FORWARDED, WHOLE_ENTRIES = range(4)
 
 
-def _pack(sigs: np.ndarray, owner: np.ndarray, keys: np.ndarray, ranges: int, hot: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (range, kind, sigs, who, keys): 0 entries, 1 members of a hot signature, 2 its forwarded entry."""
+def _place(sigs: np.ndarray, ranges: int) -> np.ndarray:
+    return ((sigs >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["range", "kind", "sigs", "who", "keys"])
+
+
+def _pack(sigs: np.ndarray, owner: np.ndarray, keys: np.ndarray, ranges: int, hot: int, whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of (range, kind, sigs, who, keys)."""
     by = np.argsort(sigs, kind="stable")
     sigs, owner = sigs[by], owner[by]
     begins = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1]]))
     length = np.diff(np.append(begins, len(sigs)))
     is_hot = np.repeat(length > hot, length)
     rows = []
-    place = lambda s: ((s >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
     if is_hot.any():
         members = np.flatnonzero(is_hot)
         for i, some in enumerate(np.array_split(members, -(-len(members) // 65536))):
-            rows.append((int(sigs[some[0]] % U64(ranges) + U64(i)) % ranges, 1, sigs[some].tobytes(), b"", keys[owner[some]].tobytes()))
+            rows.append((int(sigs[some[0]] % U64(ranges) + U64(i)) % ranges, MEMBERS, sigs[some].tobytes(), b"", keys[owner[some]].tobytes()))
         for b, n in zip(begins[length > hot], length[length > hot], strict=True):
-            rows.append((int(place(sigs[b : b + 1])[0]), 2, sigs[b : b + 1].tobytes(), b"", keys[owner[b : b + n]].min(keepdims=True).tobytes()))
+            rows.append((int(_place(sigs[b : b + 1], ranges)[0]), FORWARDED, sigs[b : b + 1].tobytes(), b"", keys[owner[b : b + n]].min(keepdims=True).tobytes()))
         sigs, owner = sigs[~is_hot], owner[~is_hot]
-    at = np.searchsorted(place(sigs), np.arange(ranges + 1))
-    for r in range(ranges):
-        some = slice(at[r], at[r + 1])
-        if at[r] < at[r + 1]:
-            used, who = np.unique(owner[some], return_inverse=True)
-            rows.append((r, 0, sigs[some].astype(np.uint32).tobytes(), who.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), keys[used].tobytes()))
+    place = _place(sigs, ranges)
+    edges = np.append(np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])), len(place)) if len(place) else [0]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        used, who = np.unique(owner[a:b], return_inverse=True)
+        rows.append((int(place[a]), WHOLE_ENTRIES if whole else ENTRIES, (sigs[a:b] if whole else sigs[a:b].astype(np.uint32)).tobytes(), who.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), keys[used].tobytes()))
     if rows:
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["range", "kind", "sigs", "who", "keys"])
+        yield _batch(rows)
+
+
+def _owners(who: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(who, np.uint16 if len(who) == 2 * n else np.uint32)
 
 
 def _buckets(packed: pa.Table) -> pa.Table:
@@ -176,10 +201,10 @@ def _buckets(packed: pa.Table) -> pa.Table:
     out_bucket, out_key = [], []
     for kind, s, who, k in zip(*(packed[c].to_pylist() for c in ("kind", "sigs", "who", "keys")), strict=True):
         owners = np.frombuffer(k, np.int64)
-        if kind == 1:
+        if kind == MEMBERS:
             out_bucket.append(np.frombuffer(s, np.int64))
             out_key.append(owners)
-        elif kind == 2:
+        elif kind == FORWARDED:
             whole = np.frombuffer(s, U64)
             sigs.append(whole.astype(np.uint32))
             full.append(whole)
@@ -188,7 +213,7 @@ def _buckets(packed: pa.Table) -> pa.Table:
             short = np.frombuffer(s, np.uint32)
             sigs.append(short)
             full.append(np.zeros(len(short), U64))
-            keys.append(owners[np.frombuffer(who, np.uint16 if len(who) == 2 * len(short) else np.uint32)])
+            keys.append(owners[_owners(who, len(short))])
     if sigs:
         sig, key, whole = np.concatenate(sigs), np.concatenate(keys), np.concatenate(full)
         by = np.lexsort((key, sig))
@@ -207,35 +232,72 @@ def _buckets(packed: pa.Table) -> pa.Table:
         take = np.repeat(keep & (chosen | (hot > 0)), length) & distinct
         out_bucket.append(np.repeat(name, length)[take].view(np.int64))
         out_key.append(key[take])
+        # Entries tell signatures apart by half their bits: hot ones that agree there get all members each.
+        least = np.minimum.reduceat(np.where(whole > 0, whole, U64((1 << 64) - 1)), begins)
+        for g in np.flatnonzero((hot > 0) & (least != hot)):
+            of = slice(begins[g], begins[g] + length[g])
+            for other in np.setdiff1d(whole[of], np.array([0, hot[g]], U64)):
+                some = np.unique(key[of])
+                out_bucket.append(np.full(len(some), other, U64).view(np.int64))
+                out_key.append(some)
     join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return pa.table({"bucket": join(out_bucket), "set_key": join(out_key)})
 
 
-def shared_signatures(docs: DataFrame, text: str, ranges: int, hot: int = HOT) -> DataFrame:
+class Held:
+    """Signatures of sets, packed when many are held."""
+
+    def __init__(self, *how):
+        self.how = how
+        self.clear()
+
+    def clear(self) -> None:
+        self.sigs, self.owner, self.keys, self.n, self.n_keys = [], [], [], 0, 0
+
+    def add(self, sigs: np.ndarray, owner: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.sigs.append(sigs)
+        self.owner.append(owner.astype(np.int64) + self.n_keys)
+        self.keys.append(keys)
+        self.n, self.n_keys = self.n + len(sigs), self.n_keys + len(keys)
+        if self.n >= FLUSH:
+            yield from self.pack()
+
+    def pack(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            yield from _pack(np.concatenate(self.sigs), np.concatenate(self.owner), np.concatenate(self.keys), *self.how)
+        self.clear()
+
+
+def shared_signatures(docs: DataFrame, text: str, ranges: int, hot: int = HOT, coarse: int = COARSE) -> DataFrame:
     """(bucket, set_key): which sets share which signatures."""
+    two = ranges > coarse
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        sigs, counts, keys, held = [], [], [], 0
+        held = Held(coarse if two else ranges, hot, two)
         for batch in batches:
             for s in sets_of(batch.column(0)):
                 if not len(s) or (k := set_key(s)) in seen:
                     continue
                 seen.add(k)
                 own = signatures(s)
-                if not len(own):
-                    continue
-                sigs.append(own)
-                counts.append(len(own))
-                keys.append(k)
-                held += len(own)
-                if held >= FLUSH:
-                    yield from _pack(np.concatenate(sigs), np.repeat(np.arange(len(keys)), counts), np.array(keys, np.int64), ranges, hot)
-                    sigs, counts, keys, held = [], [], [], 0
-        if sigs:
-            yield from _pack(np.concatenate(sigs), np.repeat(np.arange(len(keys)), counts), np.array(keys, np.int64), ranges, hot)
+                yield from held.add(own, np.zeros(len(own), np.int64), np.array([k], np.int64))
+        yield from held.pack()
+
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Held(ranges, hot)
+        for batch in batches:
+            for r, kind, s, who, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sigs, keys = np.frombuffer(s, U64), np.frombuffer(k, np.int64)
+                if kind == WHOLE_ENTRIES:
+                    yield from held.add(sigs, _owners(who, len(sigs)), keys)
+                else:
+                    yield _batch([(int(_place(sigs[:1], ranges)[0]) if kind == FORWARDED else r, kind, s, who, k)])
+        yield from held.pack()
 
     packed = docs.select(text).mapInArrow(sign, _PACKED)
+    if two:
+        packed = packed.repartition(coarse, "range").mapInArrow(refine, _PACKED)
     return packed.groupBy("range").applyInArrow(_buckets, "bucket long, set_key long").distinct()
 
 
@@ -292,24 +354,36 @@ class Bucket:
         self.kinds = [(w, np.flatnonzero(words == w)) for w in np.unique(words)]
         self.stacks = [np.frombuffer(b"".join(sketches[by[i]] for i in at), U64).reshape(len(at), w) for w, at in self.kinds]
 
-    def possible(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(rows, matrix) in blocks: whether each row's set could link with each set of a smaller key."""
-        m = len(self.key)
-        widest = max(w for w, _ in self.kinds)
-        step = max(1, (4 << 20) // (m * widest))
+    def candidates(self, tries: int, apart=None, some: np.ndarray | None = None, larger: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(row, other) of the sets (of some) and others of smaller keys (or larger ones) that they could link with,
+        as far as apart(rows, others) lets pairs pass, until a row has about tries. Others come in growing blocks, and a row leaves with its last."""
+        found: list[tuple[np.ndarray, np.ndarray]] = []
         for (w, at), stack in zip(self.kinds, self.stacks, strict=True):
-            for a in range(0, len(at), step):
-                rows = at[a : a + step]
-                out = np.zeros((len(rows), m), bool)
+            chosen = np.arange(len(at)) if some is None else np.flatnonzero(np.isin(at, some))
+            for a in range(0, len(chosen), 2048):
+                left, got = chosen[a : a + 2048], np.zeros(min(2048, len(chosen) - a), np.int64)
                 for (v, cols), other in zip(self.kinds, self.stacks, strict=True):
-                    least = min(w, v)
-                    d = _distances(_fold(stack[a : a + step], least)[:, None, :], _fold(other, least)[None, :, :])
-                    n = self.sizes[rows][:, None] + self.sizes[cols][None, :]
-                    out[:, cols] = (SIMILARITY[0] + SIMILARITY[1]) * d <= (SIMILARITY[1] - SIMILARITY[0]) * n
-                small = np.minimum(self.sizes[rows][:, None], self.sizes[None, :])
-                large = np.maximum(self.sizes[rows][:, None], self.sizes[None, :])
-                out &= (SIMILARITY[1] * small >= SIMILARITY[0] * large) & (np.arange(m)[None, :] < rows[:, None])
-                yield rows, out
+                    least, c, block = min(w, v), 0, 64
+                    while c < len(cols) and len(left):
+                        own = at[left]
+                        if not larger and cols[c] >= own.max():
+                            break
+                        block = max(1, min(block, (4 << 20) // (len(left) * least)))
+                        some_cols = cols[c : c + block]
+                        d = _distances(_fold(stack[left], least)[:, None, :], _fold(other[c : c + block], least)[None, :, :])
+                        n, m = self.sizes[own][:, None], self.sizes[some_cols][None, :]
+                        ok = (SIMILARITY[0] + SIMILARITY[1]) * d <= (SIMILARITY[1] - SIMILARITY[0]) * (n + m)
+                        ok &= SIMILARITY[1] * np.minimum(n, m) >= SIMILARITY[0] * np.maximum(n, m)
+                        ok &= some_cols[None, :] > own[:, None] if larger else some_cols[None, :] < own[:, None]
+                        if apart is not None and ok.any():
+                            ok &= apart(own, some_cols, ok)
+                        ok &= np.cumsum(ok, axis=1) <= (tries - got)[:, None]
+                        i, j = np.nonzero(ok)
+                        found.append((own[i], some_cols[j]))
+                        got += ok.sum(1)
+                        left, got = left[got < tries], got[got < tries]
+                        c, block = c + len(some_cols), block * 4
+        return tuple(np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ((), ())))
 
 
 def _groups(table: pa.Table) -> Iterator[tuple[int, int]]:
@@ -319,7 +393,7 @@ def _groups(table: pa.Table) -> Iterator[tuple[int, int]]:
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (bucket, set_key, n_shingles, sketch), those that could link with another of their bucket, each with the first of smaller key."""
+    """Of rows (bucket, set_key, n_shingles, sketch), those that could link with another of their bucket, each with one of smaller key if there is any."""
     for table in whole_groups(batches, "bucket"):
         keys, sizes, sketches = table.column("set_key").to_numpy(), table.column("n_shingles").to_numpy(), table.column("sketch").to_pylist()
         keep, partner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
@@ -328,18 +402,19 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if b - a < 2:
                 continue
             bucket = Bucket(keys[a:b], sizes[a:b], sketches[a:b])
-            for rows, ok in bucket.possible():
-                some = ok.any(1)
-                keep[a + bucket.by[rows[some]]] = True
-                keep[a + bucket.by[np.flatnonzero(ok.any(0))]] = True
-                known[a + bucket.by[rows[some]]] = True
-                partner[a + bucket.by[rows[some]]] = bucket.key[ok[some].argmax(1)]
+            rows, others = bucket.candidates(1)
+            keep[a + bucket.by[rows]] = keep[a + bucket.by[others]] = True
+            known[a + bucket.by[rows]] = True
+            partner[a + bucket.by[rows]] = bucket.key[others]
+            if len(rows):  # a set may be another's second choice alone
+                rows, _ = bucket.candidates(1, some=np.flatnonzero(~keep[a + bucket.by]), larger=True)
+                keep[a + bucket.by[rows]] = True
         out = table.append_column("partner", pa.array(partner, mask=~known)).filter(pa.array(keep))
         yield from out.combine_chunks().to_batches()
 
 
 def more_candidates(tries: int):
-    """Pairs (a, b) of sets of one bucket and two components: each set with the first tries others of smaller keys, of another component, that it could link with and that weren't refuted."""
+    """Pairs (a, b) of sets of one bucket and two components: each set with about the first tries others of smaller keys, of another component, that it could link with and that weren't refuted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "bucket"):
@@ -349,21 +424,65 @@ def more_candidates(tries: int):
             for a, b in _groups(table):
                 bucket = Bucket(keys[a:b], sizes[a:b], sketches[a:b])
                 comp = comps[a:b][bucket.by]
-                for rows, ok in bucket.possible():
-                    ok &= comp[rows][:, None] != comp[None, :]
-                    for i in np.flatnonzero(ok.any(1)):
+
+                def apart(rows, cols, ok, a=a, bucket=bucket, comp=comp):
+                    out = comp[rows][:, None] != comp[cols][None, :]
+                    for i in np.flatnonzero((ok & out).any(1)):
                         refuted = failed[a + bucket.by[rows[i]]]
                         if refuted:
-                            ok[i] &= ~np.isin(bucket.key, np.array(refuted, np.int64))
-                    of, other = np.nonzero(ok & (np.cumsum(ok, axis=1) <= tries))
-                    left.append(bucket.key[other])
-                    right.append(bucket.key[rows[of]])
+                            out[i] &= ~np.isin(bucket.key[cols], np.array(refuted, np.int64))
+                    return out
+
+                of, other = bucket.candidates(tries, apart)
+                left.append(bucket.key[other])
+                right.append(bucket.key[of])
             one = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
             yield pa.record_batch([one(left), one(right)], names=["a", "b"])
 
     return run
 
 
+def rare_prefixes(elements: DataFrame, n_sets: int) -> DataFrame:
+    """(bucket, set_key): a bucket for each of the rarest 1/5 (and one) of a set's shingles, of which linked sets share one, in any order of shingles that holds for all.
+
+    The order goes by how many of up to SAMPLED sets hold a shingle, so that what many share comes last.
+    """
+    some = elements.filter(F.pmod(F.xxhash64("set_key"), F.lit(max(1, -(-n_sets // SAMPLED)))) == 0)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([pa.array(np.concatenate([np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()] or [np.zeros(0, np.int64)]))], names=["shingle"])
+
+    counts = some.select("elements").mapInArrow(each, "shingle long").groupBy("shingle").count().filter("count > 2").orderBy(F.col("count").desc(), "shingle").limit(COMMON).toPandas()
+    by = np.argsort(counts["shingle"].to_numpy(np.int64).view(U64))
+    common, often = counts["shingle"].to_numpy(np.int64).view(U64)[by], counts["count"].to_numpy(np.int64)[by]
+    table = elements.sparkSession.sparkContext.broadcast((common, often))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, often = table.value
+        for batch in batches:
+            buckets, keys = [], []
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                s = np.frombuffer(x, U64)
+                at = np.minimum(np.searchsorted(common, s), max(0, len(common) - 1))
+                n = np.where(common[at] == s, often[at], 0) if len(common) else np.zeros(len(s), np.int64)
+                prefix = len(s) - -(-len(s) * SIMILARITY[0] // SIMILARITY[1]) + 1
+                buckets.append(mix(s[np.lexsort((s, n))[:prefix]] ^ U64(0x2545F4914F6CDD1D)).view(np.int64))
+                keys.append(np.full(len(buckets[-1]), k, np.int64))
+            one = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+            yield pa.record_batch([one(buckets), one(keys)], names=["bucket", "set_key"])
+
+    return elements.select("set_key", "elements").mapInArrow(deal, "bucket long, set_key long")
+
+
+def block_pairs(members: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
+    """members(bucket, set_key) of the buckets of sizes(bucket, count), dealt to a bucket for each pair of blocks of half of limit sets."""
+    n = F.ceil(2 * F.col("count") / limit).cast("int")
+    block = F.pmod(F.xxhash64("set_key", "bucket"), F.col("n")).cast("int")
+    dealt = members.join(sizes.select("bucket", n.alias("n")), "bucket").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return dealt.select(F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"), "set_key")
+
+
 def _hub_candidates(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (set_key, n_shingles, sketch, hub_key, hub_n, hub_sketch), the pairs that could link."""
     for batch in rows:
@@ -401,89 +520,126 @@ def components(edges: DataFrame) -> DataFrame:
         step = labels.join(near, labels.node == near.a, "left").select("node", F.col("component").alias("old"), F.least("component", F.coalesce("near", "component")).alias("next"))
         root = labels.select(F.col("node").alias("at"), F.col("component").alias("root"))
         moved = saved(step.join(root, step.next == root["at"], "left").select("node", "old", F.least("next", F.coalesce("root", "next")).alias("component")))
+        dropped(labels)
         labels = moved.select("node", "component")
         if moved.filter("old <> component").isEmpty():
+            dropped(both)
             return labels
 
 
-def set_components(docs: DataFrame, described_rows: DataFrame, text: str, hot: int = HOT, bucket: int = BUCKET) -> DataFrame:
+class Links:
+    """What is known of sets: their shingles, components, and pairs that don't link."""
+
+    def __init__(self, elements: DataFrame, labels: DataFrame):
+        self.elements, self.labels = elements, labels
+        self.failed = elements.sparkSession.createDataFrame([], "a long, b long")
+
+    def check(self, pairs: DataFrame) -> None:
+        """Merges the components of the pairs(a, b) that link, and notes those that don't."""
+        of = lambda c: self.elements.select(F.col("set_key").alias(c), F.col("elements").alias(f"of_{c}"))
+        whole = pairs.join(of("a"), "a").join(of("b"), "b")
+        checked = saved(whole.select("a", "b", "of_a", "of_b").mapInArrow(_verify, "a long, b long, linked boolean"))
+        self.failed = self.failed.union(checked.filter("not linked").select("a", "b"))  # one table a round, and rounds are few
+        good = checked.filter("linked")
+        if not good.isEmpty():
+            name = lambda c: self.labels.select(F.col("set_key").alias(c), F.col("component").alias(f"c{c}"))
+            edges = good.join(name("a"), "a").join(name("b"), "b").filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+            merged = components(edges)
+            before = self.labels
+            self.labels = saved(before.join(merged, before.component == merged.node, "left").select("set_key", F.coalesce(merged.component, before.component).alias("component")))
+            dropped(merged)
+
+
+def split_large(members: DataFrame, per_set: DataFrame, known: Links, limit: int) -> DataFrame:
+    """(bucket, set_key) in buckets of about limit sets at most, which together suggest every pair that members(bucket, set_key), of larger buckets, suggest and that isn't settled by their first sets."""
+    hub = members.groupBy("bucket").agg(F.min("set_key").alias("hub"))
+    described_hub = hub.join(per_set.withColumnsRenamed({"set_key": "hub", "n_shingles": "hub_n", "sketch": "hub_sketch"}), "hub")
+    meet = members.join(described_hub, "bucket").filter("set_key <> hub").select("set_key", "hub", "hub_n", "hub_sketch").distinct().join(per_set, "set_key")
+    pairs = saved(meet.select("set_key", "n_shingles", "sketch", "hub", "hub_n", "hub_sketch").mapInArrow(_hub_candidates, "a long, b long").distinct())
+    known.check(pairs)
+    dropped(pairs)
+    labelled = members.join(known.labels, "set_key")
+    open_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
+    left = saved(members.join(open_buckets, "bucket", "left_semi").select("set_key").distinct())
+    dealt = saved(rare_prefixes(known.elements.join(left, "set_key", "left_semi"), left.count()))
+    sizes = saved(dealt.join(known.labels, "set_key").groupBy("bucket").agg(F.count("*").alias("count"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high"))
+    small = dealt.join(sizes.filter(F.col("count") <= limit).select("bucket"), "bucket", "left_semi")
+    return saved(small.unionByName(block_pairs(dealt, sizes.filter(F.col("count") > limit), limit)))
+
+
+def set_components(docs: DataFrame, described_rows: DataFrame, text: str, hot: int = HOT, bucket: int = BUCKET, ranges: int | None = None, coarse: int = COARSE) -> DataFrame:
     """(set_key, component) of every set that links with another, by the smallest set_key."""
     per_set = described_rows.filter("set_key is not null").groupBy("set_key").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     total = described_rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    shared = saved(shared_signatures(docs, text, max(1, min(1 << 20, round(total / RANGE))), hot))
+    shared = every = saved(shared_signatures(docs, text, ranges or max(1, round(total / RANGE)), hot, coarse))
     large = saved(shared.groupBy("bucket").count().filter(F.col("count") > bucket).select("bucket"))
-    big = None
+    known = big = None
     if not large.isEmpty():
-        big = saved(shared.join(large, "bucket", "left_semi").join(per_set, "set_key"))
-        shared = shared.join(large, "bucket", "left_anti")
+        big = saved(shared.join(large, "bucket", "left_semi"))
+        keys = saved(big.select("set_key").distinct())
+        known = Links(saved(whole_sets(docs, text, keys)), keys.select("set_key", F.col("set_key").alias("component")))
+        shared = shared.join(large, "bucket", "left_anti").unionByName(split_large(big, per_set, known, bucket)).distinct()
     members = shared.join(per_set, "set_key").select("bucket", "set_key", "n_shingles", "sketch")
     # Most buckets hold sets that no sketch lets through: from here on, only the others' members count.
     members = saved(members.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_first_pass, "bucket long, set_key long, n_shingles long, sketch binary, partner long"))
+    dropped(every)
     keys = members.select("set_key")
     keys = saved((keys if big is None else keys.union(big.select("set_key"))).distinct())
-    elements = saved(whole_sets(docs, text, keys))
     labels = keys.select("set_key", F.col("set_key").alias("component"))
-    failed = docs.sparkSession.createDataFrame([], "a long, b long")
-    pairs = members.filter("partner is not null").select(F.col("partner").alias("a"), F.col("set_key").alias("b"))
+    first = members.filter("partner is not null").select(F.col("partner").alias("a"), F.col("set_key").alias("b")).distinct()
+    if known is None:
+        known = Links(saved(whole_sets(docs, text, keys)), labels)
+    else:
+        settled = known.labels.withColumnRenamed("component", "settled")
+        more = keys.join(known.elements.select("set_key"), "set_key", "left_anti")
+        known.elements = known.elements.unionByName(saved(whole_sets(docs, text, saved(more))))
+        known.labels = saved(labels.join(settled, "set_key", "left").select("set_key", F.coalesce("settled", "component").alias("component")))
+        name = lambda c: known.labels.select(F.col("set_key").alias(c), F.col("component").alias(f"c{c}"))
+        first = first.join(name("a"), "a").join(name("b"), "b").filter("ca <> cb").select("a", "b").join(known.failed, ["a", "b"], "left_anti")
     members = members.drop("partner")
-    tries = GROWTH
-    while True:
-        if pairs is None:
-            refuted = failed.select(F.col("b").alias("set_key"), "a").groupBy("set_key").agg(F.collect_set("a").alias("failed"))
-            live = members.join(labels, "set_key").join(refuted, "set_key", "left").repartition("bucket").sortWithinPartitions("bucket")
-            inside = Window.partitionBy("bucket")
-            live = live.withColumn("low", F.min("component").over(inside)).withColumn("high", F.max("component").over(inside)).filter("low <> high")
-            pairs = live.select("bucket", "set_key", "component", "n_shingles", "sketch", "failed").mapInArrow(more_candidates(tries), "a long, b long")
-            tries *= GROWTH
-        if big is not None:
-            # Hub by hub: every other set of the bucket meets its smallest one, which then leaves.
-            now = big.join(labels, "set_key")
-            split = saved(now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("set_key", "n_shingles", "sketch", "component")).alias("hub")).filter("low <> high").select("bucket", "hub"))
-            meet = now.join(split, "bucket").filter((F.col("hub.set_key") != F.col("set_key")) & (F.col("hub.component") != F.col("component")))
-            pairs = pairs.union(meet.select("set_key", "n_shingles", "sketch", F.col("hub.set_key").alias("hub_key"), F.col("hub.n_shingles").alias("hub_n"), F.col("hub.sketch").alias("hub_sketch")).mapInArrow(_hub_candidates, "a long, b long"))
-            big = saved(big.join(split.select("bucket"), "bucket", "left_semi").join(split.select("bucket", F.col("hub.set_key").alias("set_key")), ["bucket", "set_key"], "left_anti"))
-            if big.isEmpty():
-                big = None
-        pairs = saved(pairs.distinct())
-        if pairs.isEmpty():
-            if big is None:
-                return labels
-            pairs = None
-            continue
-        whole = pairs.join(elements.select(F.col("set_key").alias("a"), F.col("elements").alias("of_a")), "a").join(elements.select(F.col("set_key").alias("b"), F.col("elements").alias("of_b")), "b")
-        checked = saved(whole.select("a", "b", "of_a", "of_b").mapInArrow(_verify, "a long, b long, linked boolean"))
-        failed = saved(failed.union(checked.filter("not linked").select("a", "b")))
-        good = checked.filter("linked")
-        if not good.isEmpty():
-            name = labels.select(F.col("set_key"), F.col("component"))
-            edges = good.join(name.select(F.col("set_key").alias("a"), F.col("component").alias("ca")), "a").join(name.select(F.col("set_key").alias("b"), F.col("component").alias("cb")), "b").filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-            merged = components(edges)
-            labels = saved(labels.join(merged, labels.component == merged.node, "left").select("set_key", F.coalesce(merged.component, labels.component).alias("component")))
-        pairs = None
-
-
-def link(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
-    """key, row_key, n_shingles and component_id (the smallest key of the component) of every row of docs."""
+    pairs, tries = saved(first), GROWTH
+    while not pairs.isEmpty():
+        known.check(pairs)
+        dropped(pairs)
+        refuted = known.failed.select(F.col("b").alias("set_key"), "a").groupBy("set_key").agg(F.collect_set("a").alias("failed"))
+        live = members.join(known.labels, "set_key").join(refuted, "set_key", "left").repartition("bucket").sortWithinPartitions("bucket")
+        inside = Window.partitionBy("bucket")
+        live = live.withColumn("low", F.min("component").over(inside)).withColumn("high", F.max("component").over(inside)).filter("low <> high")
+        pairs = saved(live.select("bucket", "set_key", "component", "n_shingles", "sketch", "failed").mapInArrow(more_candidates(tries), "a long, b long").distinct())
+        tries *= GROWTH
+    return known.labels
+
+
+def link(docs: DataFrame, text: str = "text", key: str = "doc_id", row: Column | None = None, **how) -> DataFrame:
+    """key, row_key (row, or a hash of key and text), n_shingles and component_id (the smallest key of the component) of every row of docs."""
     bounded_batches(docs.sparkSession)
-    rows = saved(described(docs, text, key))
+    rows = saved(described(docs, text, key, row))
     labels = set_components(docs, rows, text, **how)
-    named = rows.filter("set_key is not null").groupBy("set_key").agg(F.min("key").alias("least")).join(labels, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    full = rows.filter("set_key is not null").select("key", "row_key", "n_shingles", "set_key")
+    named = saved(full.groupBy("set_key").agg(F.min("key").alias("least")).join(labels, "set_key", "left").withColumn("component", F.coalesce("component", "set_key")))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = named.join(least, "component").select("set_key", "component_id")
-    return rows.join(by_set, "set_key", "left").select(F.col("key").alias(key), "row_key", "n_shingles", F.coalesce("component_id", "key").alias("component_id"))
+    by_set = salted_join(named, least, "component").select("set_key", "component_id")
+    columns = [F.col("key").alias(key), "row_key", "n_shingles", F.coalesce("component_id", "key").alias("component_id")]
+    empty = rows.filter("set_key is null").withColumn("component_id", F.col("key"))
+    return salted_join(full, by_set, "set_key").select(*columns).unionByName(empty.select(*columns))
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each component, that with the smallest key, with all columns; texts without words all stay."""
+    """One row of each component, that with the smallest key, with all columns; texts without words all stay.
+
+    Of rows with one key in a component, the one with the smallest hash of all its columns (but maps) stays.
+    """
     names = docs.columns
-    found = saved(link(docs, text, key))
+    mark = "_row" + "_" * max(map(len, names))  # a name that no column has
+    marked = docs.withColumn(mark, F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant")))
+    found = saved(link(marked, text, key, F.col(mark)))
     full = found.filter("n_shingles > 0")
     chosen = full.groupBy("component_id").agg(F.min(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), "row_key")).alias("first")).select("first.row_key")
     chosen = chosen.union(found.filter("n_shingles = 0").select("row_key")).distinct()
-    kept = docs.withColumn("_row_key", F.xxhash64(key, text)).join(chosen.withColumnRenamed("row_key", "_row_key"), "_row_key", "left_semi")
-    repeated = full.groupBy("row_key").count().filter("count > 1").select(F.col("row_key").alias("_row_key"))
+    kept = marked.join(chosen.withColumnRenamed("row_key", mark), mark, "left_semi")
+    repeated = full.groupBy("row_key").count().filter("count > 1").select(F.col("row_key").alias(mark))
     if not repeated.isEmpty():
-        # Rows that agree in key and text are one document: any of them stays.
-        again = kept.join(repeated, "_row_key", "left_semi").dropDuplicates(["_row_key"])
-        kept = kept.join(repeated, "_row_key", "left_anti").unionByName(again)
+        # Rows that agree in all columns are one document.
+        again = kept.join(repeated, mark, "left_semi").dropDuplicates([mark])
+        kept = kept.join(repeated, mark, "left_anti").unionByName(again)
     return kept.select(*names)

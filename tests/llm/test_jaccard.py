@@ -60,7 +60,7 @@ def corpus(seed, n_base=40, copies=8):
     return [(i, t, "clash") for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("seed", "how"), [(1, {}), (2, {"hot": 2}), (3, {"hot": 3, "bucket": 3})])
+@pytest.mark.parametrize(("seed", "how"), [(1, {}), (2, {"hot": 2}), (3, {"hot": 3, "bucket": 3}), (4, {"hot": 3, "ranges": 50, "coarse": 4})])
 def test_components_equal_brute_force(spark, seed, how):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
@@ -97,3 +97,50 @@ def test_short_texts_are_one_shingle():
     assert [len(s) for s in sets] == [1, 1, 1, 1, 0]
     assert np.array_equal(sets[0], sets[1])
     assert not np.array_equal(sets[0], sets[2])
+
+
+def test_texts_around_one_footer_take_few_rounds(spark, monkeypatch):
+    """Two hundred sets in one large bucket, of which few link."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    footer = " ".join(word() for _ in range(40))
+    rows = [(i, " ".join(word() for _ in range(45)) + " " + footer) for i in range(200)]
+    rows += [(300 + i, rows[i][1].replace(" ", "  ") + " " + word()) for i in range(0, 60, 2)]
+    written = []
+    from pliego.llm import cluster
+
+    keep = cluster.saved
+    monkeypatch.setattr(jaccard, "saved", lambda df: written.append(1) or keep(df))
+    # All sets in one bucket, as if a signature's parts held the footer alone.
+    monkeypatch.setattr(jaccard, "shared_signatures", lambda docs, *a: docs.sparkSession.createDataFrame([(1, jaccard.set_key(s)) for s in jaccard.sets_of(pa.array([r[1] for r in rows]))], "bucket long, set_key long").distinct())
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), bucket=3).collect())
+    assert got == brute([(*r, "") for r in rows])
+    assert len(written) < 60
+
+
+def test_hot_signatures_that_share_half_their_bits():
+    one, two = (1 << 40) + 7, (1 << 41) + 7
+    packed = [b for sigs in (one, two) for b in jaccard._pack(np.full(4, sigs, np.uint64), np.arange(4), np.arange(4, dtype=np.int64) + sigs % 100, 1, 2)]
+    packed += list(jaccard._pack(np.array([two], np.uint64), np.zeros(1, np.int64), np.array([999], np.int64), 1, 2))
+    found = jaccard._buckets(pa.Table.from_batches(packed)).to_pydict()
+    of = lambda name: {k for b, k in zip(found["bucket"], found["set_key"], strict=True) if b == name}
+    assert 999 in of(two) and set(range(two % 100, two % 100 + 4)) <= of(two) and set(range(one % 100, one % 100 + 4)) <= of(one)
+
+
+def test_kept_rows_are_one_choice_and_no_column_is_touched(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "a b c d e f", f"v{i}", "mine") for i in range(6)] + [(2, None, "x", "mine"), (3, "long " * 300_000 + "end", "y", "mine"), (4, "long " * 300_000 + "end", "z", "mine")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, _row_key string").withColumn("m", F.create_map(F.lit("k"), F.col("lang")))
+    once = sorted((r.doc_id, r.lang, r._row_key) for r in jaccard.keep_one(df.repartition(4)).collect())
+    assert once == sorted((r.doc_id, r.lang, r._row_key) for r in jaccard.keep_one(df.repartition(2, "lang")).collect())
+    assert [x[0] for x in once] == [1, 2, 3] and {x[2] for x in once} == {"mine"}
+
+
+def test_salted_joins_equal_plain_ones(spark):
+    from pliego.llm.cluster import salted_join
+
+    left = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then 7 when id % 50 = 1 then null else id end as k")
+    right = spark.range(2000).selectExpr("id as k", "id * 2 as v")
+    want = sorted(map(repr, left.join(right, "k", "left").select("id", "k", "v").collect()))
+    assert sorted(map(repr, salted_join(left, right, "k").select("id", "k", "v").collect())) == want
