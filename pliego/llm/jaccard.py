@@ -602,9 +602,13 @@ def set_components(docs: DataFrame, described_rows: DataFrame, text: str, hot: i
         known.check(pairs)
         dropped(pairs)
         refuted = known.failed.select(F.col("b").alias("set_key"), "a").groupBy("set_key").agg(F.collect_set("a").alias("failed"))
+        # Buckets of one component are done for good: only the others' members go on, and bring their sketches.
+        inside = members.select("bucket", "set_key").join(known.labels, "set_key").groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        open_buckets = saved(inside.filter("low <> high").select("bucket"))
+        wanted = F.broadcast(open_buckets) if open_buckets.count() <= NEEDED else open_buckets
+        done, members = members, saved(members.join(wanted, "bucket", "left_semi"))
+        dropped(done, open_buckets)
         live = members.join(known.labels, "set_key").join(refuted, "set_key", "left").repartition("bucket").sortWithinPartitions("bucket")
-        inside = Window.partitionBy("bucket")
-        live = live.withColumn("low", F.min("component").over(inside)).withColumn("high", F.max("component").over(inside)).filter("low <> high")
         pairs = saved(live.select("bucket", "set_key", "component", "n_shingles", "sketch", "failed").mapInArrow(more_candidates(tries), "a long, b long").distinct())
         tries *= GROWTH
     return known.labels
