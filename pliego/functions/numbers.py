@@ -12,6 +12,7 @@ TOP_BAND = "Core"
 PORTFOLIO = {"Core": "P1 Segmento Core", "Débil": "P2 Segmento Débil", "Eliminable": "P3 Segmento Eliminable", "Competitivo": "mantener"}
 #: Segments of price positions, in reporting order.
 SEGMENTS = ("W1 — Aligned", "W2 — Improvable", "W3 — Comp-Overshot", "W4 — Lock-In", "W5 — Monopoly", "L1 — Recoverable", "L2 — Overshot", "L3 — Lock-Out", "D — Unawarded")
+#: Fixed value: the share by which two prices may differ and still be close.
 TOLERANCE = 0.015
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -41,16 +42,27 @@ PACK_PATTERNS = (
 #: Fixed value: marks that become spaces.
 PUNCTUATION = r"""["'()\[\]{},;:_\-+*/\\|·•¿?¡!#&<>=~]+"""
 
-_ACCENTED = "áàâäãåāăąçćčďéèêëēęěğíìîïīıĺľñńňóòôöõōőřśşšťúùûüūůűýÿźżž"
-_TRANSLATED = "".join(dict.fromkeys(_ACCENTED))
+#: A decimal comma, dots outside numbers, and the joints of digits with letters, in the order in which they apply.
+DECIMAL_COMMA, LONE_DOT, DIGIT_LETTER, LETTER_DIGIT = r"(?<=\d),(?=\d)", r"(?<!\d)\.|\.(?!\d)", r"(?<=\d)(?=[a-z%])", r"(?<=[a-z])(?=\d)"
 
 
-def strip_accents(c: Column) -> Column:
-    """Letters without their marks: composed Latin ones by table, combining marks by class."""
-    import unicodedata
+def _composed() -> tuple[str, str]:
+    """Letters that are another letter with marks, and that letter, by canonical decomposition."""
+    marked, plain = [], []
+    for cp in range(0xC0, 0x2000):
+        base = "".join(x for x in unicodedata.normalize("NFD", chr(cp)) if unicodedata.category(x) != "Mn")
+        if len(base) == 1 and base != chr(cp):
+            marked.append(chr(cp))
+            plain.append(base)
+    return "".join(marked), "".join(plain)
+
+
+_MARKED, _PLAIN = _composed()
 
-    plain = "".join(unicodedata.normalize("NFD", a)[0] for a in _TRANSLATED)
-    return F.regexp_replace(F.translate(c, _TRANSLATED, plain), r"\p{Mn}+", "")
+
+def strip_accents(c: Column) -> Column:
+    """Letters without their marks: composed ones by a table, combining marks by class."""
+    return F.regexp_replace(F.translate(c, _MARKED, _PLAIN), r"\p{Mn}+", "")
 
 
 def _replace(c: Column, pattern: str, by: str) -> Column:
@@ -63,11 +75,11 @@ def normalize(c: Column, rules: tuple[Abbreviation, ...] = ABBREVIATIONS) -> Col
     c = _replace(strip_accents(F.lower(c)), "[°ºª]", " ")
     for rule in rules:
         c = _replace(c, rule.pattern, rule.replacement)
-    c = _replace(c, r"(?<=\d),(?=\d)", ".")
-    c = _replace(c, r"(?<!\d)\.|\.(?!\d)", " ")
+    c = _replace(c, DECIMAL_COMMA, ".")
+    c = _replace(c, LONE_DOT, " ")
     c = _replace(c, PUNCTUATION, " ")
-    c = _replace(c, r"(?<=\d)(?=[a-z%])", " ")
-    c = _replace(c, r"(?<=[a-z])(?=\d)", " ")
+    c = _replace(c, DIGIT_LETTER, " ")
+    c = _replace(c, LETTER_DIGIT, " ")
     return F.trim(_replace(c, r"\s+", " "))
 
 

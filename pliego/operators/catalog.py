@@ -2,7 +2,7 @@
 
 The forest is a function of the set of identity keys alone: each node's parent is, of the nodes of its
 category whose identity attributes are a proper subset of its own, the one with the most attributes
-(and the greatest id among those). So a batch plans it in one containment join, whatever order records come in.
+(and the greatest id among those). So a batch plans it in one join, whatever order records come in.
 """
 
 from __future__ import annotations
@@ -11,9 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Identity attributes of a schema, at most.
+MAX_ATTRIBUTES = 6
+
+
 def identity_key(category: Column, attributes: Column) -> Column:
     """category|name=value|... by name; what is absent stays absent."""
-    entries = F.sort_array(F.map_entries(attributes))
+    return _key(category, F.sort_array(F.map_entries(attributes)))
+
+
+def _key(category: Column, entries: Column) -> Column:
     return F.concat_ws("|", category, F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])))
 
 
@@ -44,17 +51,16 @@ def nodes(records: DataFrame, seq: str = "seq") -> DataFrame:
 def parents(found: DataFrame) -> DataFrame:
     """nodes with parent_id.
 
-    A child meets only nodes that share an attribute value (or the root), found by an equi-join on
-    the parent's first entry, so that a category is never paired with itself as a whole.
+    A schema has MAX_ATTRIBUTES identity attributes at most, so a child has 2**MAX_ATTRIBUTES - 1 possible parents
+    at most: the keys of its attributes' proper subsets, which meet the nodes in an equi-join.
     """
-    entry = lambda e: F.concat_ws("=", e["key"], e["value"])
-    kv = F.transform(F.sort_array(F.map_entries("identity")), entry)
-    child = found.select("category", F.col("node_id").alias("child_id"), F.col("specificity").alias("c_spec"), kv.alias("c_kv"))
-    parent = found.select("category", F.col("node_id").alias("p_id"), F.col("specificity").alias("p_spec"), kv.alias("p_kv")).withColumn("probe", F.coalesce(F.get("p_kv", F.lit(0)), F.lit("")))
-    probes = child.withColumn("probe", F.explode(F.concat(F.array(F.lit("")), F.col("c_kv"))))
-    pairs = probes.join(parent, ["category", "probe"]).filter((F.col("p_spec") < F.col("c_spec")) & (F.size(F.array_intersect("p_kv", "c_kv")) == F.col("p_spec")))
-    best = pairs.groupBy("child_id").agg(F.max(F.struct("p_spec", "p_id")).alias("p")).select(F.col("child_id").alias("node_id"), F.col("p.p_id").alias("parent_id"))
-    return found.join(best, "node_id", "left")
+    n = F.size("identity")
+    entries = F.when(n <= MAX_ATTRIBUTES, F.sort_array(F.map_entries("identity"))).otherwise(F.raise_error(F.lit(f"more than {MAX_ATTRIBUTES} identity attributes")))
+    subsets = F.sequence(F.lit(0), F.pow(F.lit(2), n).cast("int") - 2)
+    probes = found.filter(n > 0).select(F.col("node_id").alias("child_id"), "category", entries.alias("entries"), F.explode(subsets).alias("bits"))
+    probes = probes.select("child_id", _key(F.col("category"), F.filter("entries", lambda e, i: F.getbit(F.col("bits"), i) == 1)).alias("identity_key"))
+    best = probes.join(found.select("identity_key", "specificity", F.col("node_id").alias("p_id")), "identity_key").groupBy("child_id").agg(F.max(F.struct("specificity", "p_id")).alias("p"))
+    return found.join(best.select(F.col("child_id").alias("node_id"), F.col("p.p_id").alias("parent_id")), "node_id", "left")
 
 
 def versions(links: DataFrame, key: str = "record_key", seq: str = "seq") -> DataFrame:
@@ -78,7 +84,7 @@ def upsert(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def checked(values: DataFrame, domains: DataFrame) -> DataFrame:
     """values(category_id, attr, value) that raise where a value is outside its attribute's domain, or the attribute unknown."""
-    joined = values.join(F.broadcast(domains), ["category_id", "attr"], "left")
+    joined = values.join(domains, ["category_id", "attr"], "left")
     wrong = F.when(F.col("domain").isNull(), F.raise_error(F.concat(F.lit("unknown attribute "), "attr"))).when(~F.array_contains("domain", F.col("value")), F.raise_error(F.concat(F.lit("illegal value "), "value"))).otherwise(F.col("value"))
     return joined.withColumn("value", wrong).drop("domain")
 

@@ -59,14 +59,19 @@ def layered(first: Column, *later: Column) -> Column:
     return out.otherwise(first)
 
 
+def classified(texts: DataFrame, text: Column, register: Register, lexicon: dict[str, str] | None = None, out: str = "classification") -> DataFrame:
+    """texts, a row for each, with the classification of their column text; null gets none."""
+    texts = texts.withColumn("_text", text).withColumn(out, F.when(F.col("_text").isNotNull(), tier1(F.col("_text"), register)))
+    if lexicon:
+        texts = brands(texts, "_text", lexicon, register).withColumn(out, F.when(F.col("_text").isNotNull(), layered(F.col(out), F.col("brand")))).drop("brand")
+    return texts.drop("_text")
+
+
 def classify_distinct(rows: DataFrame, text: str, register: Register, lexicon: dict[str, str] | None = None, out: str = "classification") -> DataFrame:
     """rows with a classification of text, made once for each distinct text."""
-    texts = rows.select(F.col(text).alias("_text")).filter(F.col("_text").isNotNull()).distinct().withColumn("tier1", tier1(F.col("_text"), register))
-    if lexicon:
-        texts = brands(texts, "_text", lexicon, register).withColumn(out, layered(F.col("tier1"), F.col("brand"))).drop("brand")
-    else:
-        texts = texts.withColumn(out, F.col("tier1"))
-    return rows.join(texts.select("_text", out), F.col(text) == F.col("_text"), "left").drop("_text")
+    texts = rows.select(F.col(text).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
+    texts = classified(texts, F.col("_key"), register, lexicon, out)
+    return rows.join(texts, F.col(text) == F.col("_key"), "left").drop("_key")
 
 
 def train_tier2(rows: DataFrame, text: str, label: str, max_iter: int = 30, features: int = 30_000):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Days back, the day itself included, that a rate may come from.
@@ -34,17 +34,16 @@ def to_clp(rows: DataFrame, rates: DataFrame, amount: str, currency: str, day: s
 def cpi_index(variations: DataFrame) -> DataFrame:
     """month and index of variations(month, pct): 100 before the first, then chained.
 
-    A month's product is of the variations up to it; there are as many rows as months.
+    One running product in the order of months; there are as many rows as months, so one task is enough.
     """
-    before = variations.select(F.col("month").alias("m"), "pct")
-    chained = variations.select("month").join(before, F.col("m") <= F.col("month")).groupBy("month").agg(F.sort_array(F.collect_list(F.struct("m", "pct"))).alias("steps"))
-    return chained.select("month", F.aggregate("steps", F.lit(100.0), lambda x, s: x * (1 + s["pct"] / 100.0)).alias("index"))
+    up_to = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return variations.select("month", (F.lit(100.0) * F.product(1 + F.col("pct") / 100.0).over(up_to)).alias("index"))
 
 
-def deflate(rows: DataFrame, index: DataFrame, amount: str, month: str, to_month: str) -> DataFrame:
-    """rows with real: amount in to_month's money."""
+def deflate(rows: DataFrame, index: DataFrame, amount: str, month: str, to_month: str | None = None) -> DataFrame:
+    """rows with real: amount in to_month's money, or in the last month's."""
     own = index.select(F.col("month").alias("_m"), F.col("index").alias("_own"))
-    base = index.filter(F.col("month") == to_month).select(F.col("index").alias("_base"))
+    base = index.agg(F.max_by("index", "month").alias("_base")) if to_month is None else index.filter(F.col("month") == to_month).select(F.col("index").alias("_base"))
     return rows.join(own, F.col(month) == F.col("_m"), "left").crossJoin(F.broadcast(base)).withColumn("real", F.col(amount) * F.col("_base") / F.col("_own")).drop("_m", "_own", "_base")  # one row
 
 

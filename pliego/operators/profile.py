@@ -11,12 +11,19 @@ RESIDUE = "_residue"
 #: Words that name another family's products.
 SYNONYMS = {"cateter": "sonda", "aposito": "gasa", "vendaje": "venda"}
 #: Words that never name a family.
-NOT_FAMILY = tuple(
-    "de del la el los las un una y o a al en con sin para por segun conforme mediante "
-    "tipo uso marca modelo desechable esteril adulto pediatrico neonatal adulta alta baja largo ancho alto corto grande pequeno mediano mayor menor nuevo nueva generico generica original similar "
-    "adquisicion compra servicio suministro insumo insumos varios otros bases base linea lineas item items mes meses ofertar oferta ofertas acuerdo total subtotal que debe deben valor valores codigo cod referencia ref cantidad cantidades cada requiere requerimiento solicita solicitud adjunto adjunta adjuntos producto productos articulo articulos aprox rec "
-    "ml cc mm cm fr ch gr kg mg lt mcg mcl mts grs mgs kgs lts nro sol "
-    "uds unidad unidades caja bolsa pack set kit rollo talla medida medidas color ver detalle detalles especificaciones tecnicas adjuntas anexo x".split()
+NOT_FAMILY = (
+    "de", "del", "la", "el", "los", "las", "un", "una", "y", "o", "a", "al", "en", "con", "sin", "para", "por",
+    "segun", "conforme", "mediante", "tipo", "uso", "marca", "modelo", "desechable", "esteril", "adulto",
+    "pediatrico", "neonatal", "adulta", "alta", "baja", "largo", "ancho", "alto", "corto", "grande", "pequeno",
+    "mediano", "mayor", "menor", "nuevo", "nueva", "generico", "generica", "original", "similar", "adquisicion",
+    "compra", "servicio", "suministro", "insumo", "insumos", "varios", "otros", "bases", "base", "linea", "lineas",
+    "item", "items", "mes", "meses", "ofertar", "oferta", "ofertas", "acuerdo", "total", "subtotal", "que", "debe",
+    "deben", "valor", "valores", "codigo", "cod", "referencia", "ref", "cantidad", "cantidades", "cada", "requiere",
+    "requerimiento", "solicita", "solicitud", "adjunto", "adjunta", "adjuntos", "producto", "productos", "articulo",
+    "articulos", "aprox", "rec", "ml", "cc", "mm", "cm", "fr", "ch", "gr", "kg", "mg", "lt", "mcg", "mcl", "mts",
+    "grs", "mgs", "kgs", "lts", "nro", "sol", "uds", "unidad", "unidades", "caja", "bolsa", "pack", "set", "kit",
+    "rollo", "talla", "medida", "medidas", "color", "ver", "detalle", "detalles", "especificaciones", "tecnicas",
+    "adjuntas", "anexo", "x",
 )
 
 

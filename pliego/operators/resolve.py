@@ -8,17 +8,25 @@ from pyspark.sql import functions as F
 from pliego.functions.numbers import close
 from pliego.functions.text import is_rubric, normalize, pack_size
 from pliego.model import Register
-from pliego.operators.classify import AMBIGUOUS, CLASSIFIED, UNCLASSIFIED, classify_distinct
+from pliego.operators.classify import AMBIGUOUS, CLASSIFIED, UNCLASSIFIED, classified
 
 CONFLICT, BOILERPLATE = "offer_buyer_conflict", "boilerplate_rubric"
 PER_PACK, PER_UNIT, UNKNOWN = "per_pack", "per_base_unit", "unknown"
 
 
 def prepared(rows: DataFrame, text: str, name: str, register: Register, lexicon: dict[str, str] | None = None) -> DataFrame:
-    """rows with {name}_norm, {name}_rubric and {name}_cls; a rubric isn't classified."""
-    rows = rows.withColumn(f"{name}_rubric", is_rubric(F.col(text))).withColumn(f"{name}_norm", F.when(F.col(text).isNotNull(), normalize(F.col(text))))
+    """rows with {name}_norm, {name}_rubric and {name}_cls; a rubric isn't classified.
+
+    A text is normalised and classified once, however many rows hold it: distinct texts first, and
+    their results meet the rows in one join on the text as it stands.
+    """
+    raw = f"_{name}_raw"
+    texts = rows.select(F.col(text).alias(raw)).filter(F.col(raw).isNotNull()).distinct()
+    texts = texts.select(raw, is_rubric(F.col(raw)).alias(f"{name}_rubric"), normalize(F.col(raw)).alias(f"{name}_norm"))
     informative = F.when(~F.col(f"{name}_rubric"), F.col(f"{name}_norm"))
-    return classify_distinct(rows.withColumn("_informative", informative), "_informative", register, lexicon, f"{name}_cls").drop("_informative")
+    texts = classified(texts, informative, register, lexicon, f"{name}_cls")
+    out = rows.join(texts, F.col(text) == F.col(raw), "left").drop(raw)
+    return out.withColumn(f"{name}_rubric", F.coalesce(f"{name}_rubric", F.lit(False)))
 
 
 def status(cls: Column) -> Column:

@@ -10,6 +10,7 @@ from pliego.model import Attribute, Category, Register, Rule
 from pliego.operators import catalog, classify, extract, price, profile, progress, resolve
 from pliego.plans.adapters import table
 from pliego.plans.report_queries import _rounded
+from pliego.scratch import saved, scratch_dir
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -152,10 +153,14 @@ def awarded_spend(spark, sf_dir):
     return parts(spark, sf_dir).join(spend, "p_partkey", "left").select("p_partkey", F.coalesce("spend", F.lit(0.0)).alias("spend"))
 
 
+def _classified(spark, sf_dir, lexicon=None) -> DataFrame:
+    """parts with norm and classification of their descriptions."""
+    return resolve.prepared(parts(spark, sf_dir), "description", "d", REGISTER, lexicon).withColumnsRenamed({"d_norm": "norm", "d_cls": "classification"})
+
+
 @query("tier1_classify", f"with {PARTS_CTE}, hit as (select p_partkey, {tier1_sql(normalized_sql('description'))} as h from parts) select p_partkey, {_STATUS.format(h='h')} as status, case when len(h) = 1 then h[1] end as category, list_aggregate(h, 'string_agg', ',') as matched from hit")
 def tier1_classify(spark, sf_dir):
-    rows = parts(spark, sf_dir).withColumn("norm", text.normalize(F.col("description")))
-    out = classify.classify_distinct(rows, "norm", REGISTER)
+    out = _classified(spark, sf_dir)
     return out.select("p_partkey", "classification.status", "classification.category", F.nullif(F.array_join("classification.matched", ","), F.lit("")).alias("matched"))
 
 
@@ -173,8 +178,7 @@ _LAYERED = f"n as (select *, {normalized_sql('description')} as norm from parts)
 
 @query("layered_classify", f"with {PARTS_CTE}, {_LAYERED} select p_partkey, case when len(h) = 1 then h[1] when len(h) = 0 and len(b) = 1 then b[1] end as category, case when len(h) > 1 then 'ambiguous' when len(h) = 1 or len(b) = 1 then 'classified' else 'unclassified' end as status, case when len(h) = 0 and len(b) = 1 then 'brand' else 'tier1' end as tier from l")
 def layered_classify(spark, sf_dir):
-    rows = parts(spark, sf_dir).withColumn("norm", text.normalize(F.col("description")))
-    out = classify.classify_distinct(rows, "norm", REGISTER, LEXICON)
+    out = _classified(spark, sf_dir, LEXICON)
     return out.select("p_partkey", "classification.category", "classification.status", "classification.tier")
 
 
@@ -195,8 +199,7 @@ forest as (select c.node_id, c.category, c.identity_key, c.spec, c.records, (sel
 
 
 def _yields(spark, sf_dir):
-    rows = parts(spark, sf_dir).withColumn("norm", text.normalize(F.col("description")))
-    rows = classify.classify_distinct(rows, "norm", REGISTER).withColumn("category", F.col("classification.category")).filter("category is not null")
+    rows = saved(_classified(spark, sf_dir).select("p_partkey", "norm", F.col("classification.category").alias("category")).filter("category is not null"), "classified")
     return rows, extract.yields(rows, "p_partkey", "norm", "category", REGISTER)
 
 
@@ -223,7 +226,7 @@ def _nodes(spark, sf_dir) -> DataFrame:
     ident = extract.attribute_maps(values.filter("role = 'identity'")).withColumnsRenamed({"key": "ik", "attributes": "identity"})
     descr = extract.attribute_maps(values.filter("role = 'descriptive'")).withColumnsRenamed({"key": "dk", "attributes": "descriptive"})
     records = rows.join(ident, F.col("p_partkey") == F.col("ik"), "left").join(descr, F.col("p_partkey") == F.col("dk"), "left")
-    return records.select("category", F.coalesce("identity", empty).alias("identity"), F.coalesce("descriptive", empty).alias("descriptive"), F.col("p_partkey").alias("seq"))
+    return saved(records.select("category", F.coalesce("identity", empty).alias("identity"), F.coalesce("descriptive", empty).alias("descriptive"), F.col("p_partkey").alias("seq")), "records")
 
 
 @query("identity_nodes", f"with {EXTRACT_CTE} select node_id, category, identity_key, spec as specificity, records from nodes")
@@ -238,7 +241,7 @@ def parent_forest(spark, sf_dir):
 
 @query("catalog_rollup", f"with recursive {EXTRACT_CTE}, up(ancestor, node_id) as (select node_id, node_id from forest union all select f.parent_id, u.node_id from up u join forest f on f.node_id = u.ancestor where f.parent_id is not null) select ancestor, count(*) as nodes, cast(sum(records) as bigint) as records from up join nodes using (node_id) group by 1")
 def catalog_rollup(spark, sf_dir):
-    found = catalog.parents(catalog.nodes(_nodes(spark, sf_dir)))
+    found = saved(catalog.parents(catalog.nodes(_nodes(spark, sf_dir))), "forest")
     return catalog.rollup(found, depth=len(_ATTRIBUTES)).join(found.select("node_id", "records"), "node_id").groupBy("ancestor").agg(F.count("*").alias("nodes"), F.sum("records").alias("records"))
 
 
@@ -378,8 +381,9 @@ _SERIES = f"""with {EXTRACT_CTE}, s as (select n.node_id as product, n.identity_
 
 
 def _series(spark, sf_dir) -> DataFrame:
-    found = catalog.nodes(_nodes(spark, sf_dir))
-    keyed = _nodes(spark, sf_dir).select(F.col("seq").alias("p_partkey"), catalog.node_id(catalog.identity_key(F.col("category"), F.col("identity"))).alias("node_id"))
+    records = _nodes(spark, sf_dir)
+    found = catalog.nodes(records)
+    keyed = records.select(F.col("seq").alias("p_partkey"), catalog.node_id(catalog.identity_key(F.col("category"), F.col("identity"))).alias("node_id"))
     products = offers(spark, sf_dir).join(keyed, "p_partkey").select("node_id", "awarded", F.col("l_extendedprice").alias("unit_price"), F.to_date("l_shipdate").alias("date"), F.col("l_orderkey").alias("tender"))
     return price.series(products, found, "ring")
 
@@ -439,8 +443,7 @@ def cpi_index(spark, sf_dir):
 def deflate(spark, sf_dir):
     index = _cpi(spark, sf_dir)
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("own"))
-    last = index.agg(F.max("month")).first()[0]
-    return price.deflate(rows, index, "o_totalprice", "own", last).select("o_orderkey", "real")
+    return price.deflate(rows, index, "o_totalprice", "own").select("o_orderkey", "real")
 
 
 @query(
@@ -478,21 +481,18 @@ def table_counts(spark, sf_dir):
 
 @query("tier2_classify")
 def tier2_classify(spark, sf_dir):
-    rows = parts(spark, sf_dir).withColumn("norm", text.normalize(F.col("description")))
-    rows = classify.classify_distinct(rows, "norm", REGISTER).withColumn("label", F.col("classification.category"))
+    rows = _classified(spark, sf_dir).withColumn("label", F.col("classification.category"))
     model = classify.train_tier2(rows.filter("label is not null").select("norm", "label").orderBy(F.xxhash64("norm", F.lit(0))).limit(80_000), "norm", "label", max_iter=10, features=5000)
     return classify.tier2(rows.filter("label is null").select("p_partkey", "norm"), "norm", model).select("p_partkey", "tier2.category", "tier2.status")
 
 
 @query("streaming_resolve", f"with {EXTRACT_CTE} select key, category, identity_key, 'gp_' || substring(sha1(identity_key), 1, 12) as node_id from idents")
 def streaming_resolve(spark, sf_dir):
-    import tempfile
     import uuid
 
     from pliego.streaming.resolve import run
 
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="pliego-")
-    at = f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "part").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/par[t].parquet").withColumn("description", F.expr("concat(upper(p_name), ' ', p_type, ' N°', p_size, ' ', p_brand)"))
     return run(spark, stream, "p_partkey", "description", REGISTER, f"{at}/out", f"{at}/state").select("key", "category", "identity_key", "node_id")

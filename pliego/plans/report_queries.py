@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pliego.operators import report
 from pliego.plans.adapters import BASE_CTE, ENTITY, best_discount, best_uplift, bids, items
+from pliego.scratch import saved
 
 #: Where values are cut: an odd fraction of the last digit.
 EDGE = 0.5378
@@ -15,8 +16,17 @@ ORACLES: dict[str, str] = {}
 
 
 def _base(spark, sf_dir) -> DataFrame:
+    """The base matrix, made once and written: every table of a report reads it, most of them several times."""
     offers = bids(spark, sf_dir)
-    return report.base_matrix(offers, items(spark, sf_dir, offers), ENTITY)
+    return saved(report.base_matrix(offers, items(spark, sf_dir, offers), ENTITY), "base")
+
+
+def _prices(base: DataFrame) -> DataFrame:
+    return saved(report.price_table(base, ENTITY), "prices")
+
+
+def _universe(base: DataFrame) -> DataFrame:
+    return saved(report.with_split(base, ENTITY), "universe")
 
 
 def _rounded(df: DataFrame, digits: int = 3) -> DataFrame:
@@ -99,7 +109,7 @@ def competition(spark, sf_dir):
         union all select * from {best_discount("(select * from prices where diagnostico[1:2] in ('L1', 'L2'))", 'diagnostico')}) b using (diagnostico))""",
 )
 def price_segment_summary(spark, sf_dir):
-    return report.price_segments(report.price_table(_base(spark, sf_dir), ENTITY))
+    return report.price_segments(_prices(_base(spark, sf_dir)))
 
 
 _ANNUAL = "avg(coalesce(n_competidores, 0)) as comp_item, count(*) as ofertas, count(*) filter (where lost) as adj_comp, cast(coalesce(sum(flag_adjudicado), 0) as bigint) as adjudicadas, coalesce(sum(at_stake) filter (where lost), 0) as rev_comp, sum(revenue) as rev_entidad"
@@ -112,7 +122,7 @@ _ANNUAL = "avg(coalesce(n_competidores, 0)) as comp_item, count(*) as ofertas, c
     select coalesce(cast(anio as varchar), '(s/a)') as anio, {_ANNUAL} from mine group by 1 union all select 'Total', {_ANNUAL} from mine)""",
 )
 def annual_summary(spark, sf_dir):
-    return report.annual_summary(report.with_split(_base(spark, sf_dir), ENTITY), ENTITY)
+    return report.annual_summary(_universe(_base(spark, sf_dir)), ENTITY)
 
 
 @query("ab_split", f"select producto, producto_segmento, {r('threshold')} from split")
@@ -127,7 +137,7 @@ def ab_split(spark, sf_dir):
     from mine m join split s on m.producto is not distinct from s.producto group by 1""",
 )
 def ab_summary(spark, sf_dir):
-    return report.split_summary(report.with_split(_base(spark, sf_dir), ENTITY), ENTITY)
+    return report.split_summary(_universe(_base(spark, sf_dir)), ENTITY)
 
 
 _FOOTPRINT = """select rut_proveedor, nombre_proveedor, count(*) as n_ofertas, cast(sum(flag_adjudicado) as bigint) as n_adj, avg(flag_adjudicado) as wr,
@@ -150,7 +160,7 @@ _FOOTPRINT = """select rut_proveedor, nombre_proveedor, count(*) as n_ofertas, c
     f"select rut_proveedor, nombre_proveedor, n_ofertas, n_adj, n_productos, n_compradores, entidad_won, this_won, other_won, unawarded, {r('wr', 'revenue', 'avg_ticket', 'rev_entidad_won', 'rev_this_won', 'rev_other_won', 'wr_entidad_h2h', 'price_rel_median', 'pct_a', 'pct_b')} from ({_FOOTPRINT})",
 )
 def competitor_stats(spark, sf_dir):
-    return report.competitor_stats(report.with_split(_base(spark, sf_dir), ENTITY), ENTITY)
+    return report.competitor_stats(_universe(_base(spark, sf_dir)), ENTITY)
 
 
 @query(
@@ -160,12 +170,12 @@ def competitor_stats(spark, sf_dir):
     from ({_FOOTPRINT}) where rut_proveedor <> 1 order by revenue desc, rut_proveedor limit 15""",
 )
 def head_to_head(spark, sf_dir):
-    return report.head_to_head(report.competitor_stats(report.with_split(_base(spark, sf_dir), ENTITY), ENTITY), ENTITY)
+    return report.head_to_head(report.competitor_stats(_universe(_base(spark, sf_dir)), ENTITY), ENTITY)
 
 
 def _l1(spark, sf_dir):
     base = _base(spark, sf_dir)
-    return report.recoverable(report.price_table(base, ENTITY), base)
+    return saved(report.recoverable(report.price_table(base, ENTITY), base), "l1")
 
 
 def _by(keys: str) -> str:
@@ -216,7 +226,7 @@ def optimal_uplift(spark, sf_dir):
     count(distinct rut_proveedor) filter (where rut_proveedor <> 1) as n_competidores, count(distinct rut_comprador) as n_compradores from universe""",
 )
 def executive_kpis(spark, sf_dir):
-    return report.executive_kpis(report.with_split(_base(spark, sf_dir), ENTITY), ENTITY)
+    return report.executive_kpis(_universe(_base(spark, sf_dir)), ENTITY)
 
 
 @query("first_per_key", f"select item_key, rut_proveedor, {r('precio_unitario')} from base qualify row_number() over (partition by item_key order by item_key, rut_proveedor) = 1")
