@@ -9,6 +9,7 @@ from pliego.functions.numbers import close
 from pliego.functions.text import is_rubric, normalize, pack_size
 from pliego.model import Register
 from pliego.operators.classify import AMBIGUOUS, CLASSIFIED, UNCLASSIFIED, classified
+from pliego.scratch import saved
 
 CONFLICT, BOILERPLATE = "offer_buyer_conflict", "boilerplate_rubric"
 PER_PACK, PER_UNIT, UNKNOWN = "per_pack", "per_base_unit", "unknown"
@@ -18,13 +19,14 @@ def prepared(rows: DataFrame, text: str, name: str, register: Register, lexicon:
     """rows with {name}_norm, {name}_rubric and {name}_cls; a rubric isn't classified.
 
     A text is normalised and classified once, however many rows hold it: distinct texts first, and
-    their results meet the rows in one join on the text as it stands.
+    their results meet the rows in one join on the text as it stands. They are written before it, as
+    a later filter on a result would else be pushed below the distinct, to all rows.
     """
     raw = f"_{name}_raw"
     texts = rows.select(F.col(text).alias(raw)).filter(F.col(raw).isNotNull()).distinct()
     texts = texts.select(raw, is_rubric(F.col(raw)).alias(f"{name}_rubric"), normalize(F.col(raw)).alias(f"{name}_norm"))
     informative = F.when(~F.col(f"{name}_rubric"), F.col(f"{name}_norm"))
-    texts = classified(texts, informative, register, lexicon, f"{name}_cls")
+    texts = saved(classified(texts, informative, register, lexicon, f"{name}_cls"), "texts")
     out = rows.join(texts, F.col(text) == F.col(raw), "left").drop(raw)
     return out.withColumn(f"{name}_rubric", F.coalesce(f"{name}_rubric", F.lit(False)))
 
