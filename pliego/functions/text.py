@@ -136,6 +136,16 @@ def signed(c: Column) -> Column:
     return F.when(c > 0, F.concat(F.lit("+"), n)).when(c < 0, F.concat(F.lit("−"), n)).otherwise("0")
 
 
+def title_case(c: Column) -> Column:
+    """A display name of an identifier."""
+    return F.initcap(F.translate(c, "_", " "))
+
+
+def stamp(at: Column | None = None) -> Column:
+    """When a report was made, to the minute."""
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd HH:mm")
+
+
 def regex_stems(patterns: list[str]) -> list[str]:
     """Literal beginnings of patterns (driver side): what a corpus search can look for."""
     out = []

@@ -74,32 +74,67 @@ def classify_distinct(rows: DataFrame, text: str, register: Register, lexicon: d
     return rows.join(texts, F.col(text) == F.col("_key"), "left").drop("_key")
 
 
-def train_tier2(rows: DataFrame, text: str, label: str, max_iter: int = 30, features: int = 30_000):
-    """A multinomial model on word 1-2-grams and character 3-5-grams, rarely seen ones left out, classes balanced."""
+#: Labelled rows that train the model, at most: a bound on the driver's share of the fit, not on what is classified.
+TRAINING_ROWS = 80_000
+#: Word and character features, at most; rounds of the solver; what a model must say to decide.
+WORD_FEATURES, CHAR_FEATURES, MAX_ITER, THRESHOLD = 30_000, 50_000, 100, 0.60
+#: Inverse strength of the penalty, over all rows together.
+PENALTY_C = 10.0
+
+
+def train_tier2(rows: DataFrame, text: str, label: str, max_iter: int = MAX_ITER, features: int = WORD_FEATURES, char_features: int = CHAR_FEATURES, max_rows: int = TRAINING_ROWS):
+    """A multinomial model on word 1-2-grams and character 3-5-grams inside words, those of one text left out, classes balanced.
+
+    Each text's features are weighed by rarity and brought to length 1, words and characters each; a feature counts once a
+    text. Of more than max_rows labelled rows, those with the smallest hashes of their text are taken, an even share of
+    every label.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler
-
-    rows = rows.filter(F.trim(F.col(text)) != "").withColumnsRenamed({text: "text", label: "label_name"})
-    total = rows.count()
-    counts = rows.groupBy("label_name").agg((F.lit(float(total)) / F.count("*")).alias("weight"))
-    rows = rows.join(counts, "label_name")
+    from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler
+
+    rows = rows.filter(F.trim(F.col(text)) != "").withColumnsRenamed({text: "text", label: "label_name"}).select("text", "label_name")
+    rows = rows.orderBy(F.xxhash64("text"), "label_name").limit(max_rows)
+    total = max(1, rows.count())
+    counts = rows.groupBy("label_name").agg(F.count("*").alias("n"))
+    n_labels = max(1, counts.count())
+    rows = rows.join(counts.select("label_name", (F.lit(total / n_labels) / F.col("n")).alias("weight")), "label_name")
+    char_grams = "flatten(transform(w1, t -> flatten(transform(sequence(3, 5), n -> transform(sequence(1, greatest(length(t) + 3 - n, 1)), i -> substring(concat(' ', t, ' '), i, n))))))"
     stages = [
         StringIndexer(inputCol="label_name", outputCol="label", stringOrderType="alphabetAsc"),
         RegexTokenizer(inputCol="text", outputCol="w1", pattern=r"[a-z0-9]+", gaps=False),
         NGram(n=2, inputCol="w1", outputCol="w2"),
-        SQLTransformer(statement="select *, concat(w1, w2) as w, flatten(transform(w1, t -> flatten(transform(sequence(3, 5), n -> transform(sequence(1, greatest(length(t) + 3 - n, 1)), i -> substring(concat(' ', t, ' '), i, n)))))) as c from __THIS__"),
-        CountVectorizer(inputCol="w", outputCol="wc", minDF=2, vocabSize=features),
-        CountVectorizer(inputCol="c", outputCol="cc", minDF=2, vocabSize=features),
+        SQLTransformer(statement=f"select *, concat(w1, w2) as w, {char_grams} as c from __THIS__"),
+        CountVectorizer(inputCol="w", outputCol="wc", minDF=2, vocabSize=features, binary=True),
+        CountVectorizer(inputCol="c", outputCol="cc", minDF=2, vocabSize=char_features, binary=True),
         IDF(inputCol="wc", outputCol="wi"),
         IDF(inputCol="cc", outputCol="ci"),
-        VectorAssembler(inputCols=["wi", "ci"], outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter, regParam=0.01),
+        Normalizer(inputCol="wi", outputCol="wn"),
+        Normalizer(inputCol="ci", outputCol="cn"),
+        VectorAssembler(inputCols=["wn", "cn"], outputCol="features"),
+        LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter, regParam=1 / (PENALTY_C * total), standardization=False),
     ]
     return Pipeline(stages=stages).fit(rows)
 
 
-def tier2(rows: DataFrame, text: str, model, threshold: float = 0.60) -> DataFrame:
+def save_tier2(model, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_tier2(path: str):
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
+
+
+def held_out_accuracy(rows: DataFrame, text: str, label: str, share: float = 0.1, seed: int = 42, **how) -> float:
+    """The share of a seeded split's texts, kept from training, that the model names right whatever its certainty."""
+    train, test = rows.randomSplit([1 - share, share], seed)
+    scored = tier2(test.filter(F.trim(F.col(text)) != ""), text, train_tier2(train, text, label, **how), threshold=0.0)
+    return scored.agg(F.coalesce(F.avg(F.coalesce(F.col("tier2.category") == F.col(label), F.lit(False)).cast("double")), F.lit(0.0))).first()[0]
+
+
+def tier2(rows: DataFrame, text: str, model, threshold: float = THRESHOLD) -> DataFrame:
     """rows with tier2: the model's category at or above threshold; blanks abstain."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
@@ -127,4 +162,11 @@ def valid_brands(proposed: DataFrame, samples: DataFrame, register: Register, fi
     return out.join(seen, "token", "left_semi").filter(tier1(F.col("token"), register)["status"] == UNCLASSIFIED)
 
 
-__all__ = ["brand_collisions", "brands", "classify_distinct", "layered", "nouns", "tier1", "tier2", "train_tier2", "valid_brands"]
+def merged_brands(existing: DataFrame, generated: DataFrame) -> DataFrame:
+    """token, category and conflict of two lexicons(token, category): what existed stays, and conflict tells where the other says otherwise."""
+    other = generated.select("token", F.col("category").alias("_other"))
+    out = existing.join(other, "token", "full").withColumn("conflict", F.coalesce(F.col("category") != F.col("_other"), F.lit(False)))
+    return out.select("token", F.coalesce("category", "_other").alias("category"), "conflict")
+
+
+__all__ = ["brand_collisions", "brands", "classified", "classify_distinct", "held_out_accuracy", "layered", "load_tier2", "merged_brands", "nouns", "save_tier2", "tier1", "tier2", "train_tier2", "valid_brands"]

@@ -41,6 +41,17 @@ def merged(primary, secondary):
     return F.map_zip_with(F.coalesce(primary, empty), F.coalesce(secondary, empty), lambda k, a, b: F.coalesce(a, b))
 
 
+def pruned(attributes):
+    """A map without its null values."""
+    return F.map_filter(attributes, lambda _, v: v.isNotNull())
+
+
+def without(attributes, names: tuple[str, ...]):
+    """A map without bookkeeping entries, as JSON with sorted keys."""
+    kept = F.map_filter(attributes, lambda k, _: ~k.isin(*names)) if names else attributes
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(kept))))
+
+
 def coverage(values: DataFrame, total: int) -> DataFrame:
     """attr, n and the share of all rows that have it."""
     return values.groupBy("attr").agg(F.count_distinct("key").alias("n")).withColumn("share", F.round(F.col("n") / max(total, 1), 3))

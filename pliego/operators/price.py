@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Days back, the day itself included, that a rate may come from.
@@ -40,6 +40,12 @@ def cpi_index(variations: DataFrame) -> DataFrame:
     return variations.select("month", (F.lit(100.0) * F.product(1 + F.col("pct") / 100.0).over(up_to)).alias("index"))
 
 
+def months(first: Column, last: Column) -> Column:
+    """The months from first to last, both with, as yyyy-MM."""
+    month = lambda c: F.trunc(c, "month")
+    return F.transform(F.sequence(month(first), month(last), F.expr("interval 1 month")), lambda d: F.date_format(d, "yyyy-MM"))
+
+
 def deflate(rows: DataFrame, index: DataFrame, amount: str, month: str, to_month: str | None = None) -> DataFrame:
     """rows with real: amount in to_month's money, or in the last month's."""
     own = index.select(F.col("month").alias("_m"), F.col("index").alias("_own"))

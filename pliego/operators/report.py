@@ -180,6 +180,37 @@ def price_segments(prices: DataFrame) -> DataFrame:
     )
 
 
+def weighted_mean(value: Column, weight: Column) -> Column:
+    """Null where the weights add up to nothing."""
+    return F.try_divide(F.sum(value * weight), F.sum(weight))
+
+
+def segment_totals(prices: DataFrame, segments: DataFrame) -> DataFrame:
+    """The Total of price_segments(): volumes and revenues added up, mean and medians over all items, and no action."""
+    sums = segments.agg(*[F.sum(c).alias(c) for c in ("ofertas", "adj_comp", "adjudicadas", "rev_comp", "rev_actual", "rev_opt", "adj_adic", "rev_adic")])
+    means = prices.agg(F.coalesce(F.avg(F.coalesce("n_competidores", F.lit(0))), F.lit(0.0)).alias("comp_item"), F.median("gap_to_lose").alias("delta_win_med"), F.median("gap_to_win").alias("delta_lose_med"))
+    return sums.crossJoin(F.broadcast(means)).select(F.lit("Total").alias("diagnostico"), "*", F.lit("—").alias("accion"))  # one row each
+
+
+def split_totals(universe: DataFrame, entity) -> DataFrame:
+    """The Total of split_summary(): its ratio and mean are made anew over all of entity's offers."""
+    parts = split_summary(universe, entity)
+    sums = parts.agg(*[F.sum(c).alias(c) for c in ("n_productos", "ofertas_entidad", "adjudicaciones", "revenue")])
+    mean = _mine(universe, entity).join(item_stats(universe).select("item_key", "n_competidores"), "item_key", "left").agg(F.avg("n_competidores").alias("comp_item"))
+    return sums.crossJoin(F.broadcast(mean)).select(F.lit("Total").alias("producto_segmento"), "*", ratio(F.col("adjudicaciones"), F.col("ofertas_entidad")).alias("wr_entidad"))  # one row each
+
+
+def shown_totals(rows: DataFrame, key: str) -> DataFrame:
+    """The Total of the rows that a top list shows; means weigh by offers."""
+    return rows.agg(F.coalesce(weighted_mean(F.coalesce("comp_item", F.lit(0.0)), F.col("ofertas")), F.lit(0.0)).alias("comp_item"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ofertas", "adj_adic")], F.coalesce(F.sum("rev_adic"), F.lit(0.0)).alias("rev_adic")).select(F.lit("Total").alias(key), "*", F.lit("—").alias("accion"))
+
+
+def competitor_totals(stats: DataFrame) -> DataFrame:
+    """The Total of competitor_stats(): counts and revenues added up, rates from the sums."""
+    sums = stats.agg(*[F.sum(c).alias(c) for c in ("n_ofertas", "n_adj", "revenue", "entidad_won", "this_won", "other_won", "unawarded")])
+    return sums.select(F.lit("Total").alias("nombre_proveedor"), "*", ratio(F.col("n_adj"), F.col("n_ofertas")).alias("wr"), ratio(F.col("revenue"), F.col("n_adj")).alias("avg_ticket"))
+
+
 def first_rows(base: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key in a stated order."""
     return base.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")

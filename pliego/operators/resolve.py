@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pliego.functions.numbers import close
 from pliego.functions.text import is_rubric, normalize, pack_size
 from pliego.model import Register
+from pliego.operators import catalog, extract
 from pliego.operators.classify import AMBIGUOUS, CLASSIFIED, UNCLASSIFIED, classified
 from pliego.scratch import saved
 
@@ -90,6 +91,90 @@ def item(rows: DataFrame, offers: DataFrame, key: str, code: str, fallback: bool
     return rows.withColumn("category", category).withColumn("category_source", source).withColumn("reason", reason).withColumn("winning_norm", winning)
 
 
+FALLBACK_PREFIX = "unspsc_"
+RESOLVED, UNRESOLVED = "resolved_generic", "unresolved"
+
+
+def reports(resolved: DataFrame, register: Register, key: str = "record_key") -> DataFrame:
+    """The full report of each of resolved(key, seq, raw_text, norm, category, reason): status, node, whether it is the node's first
+    record, parent, attributes, illegal values, and price basis. A commodity bucket is a root of its own: no attributes, no basis.
+    """
+    empty = F.create_map().cast("map<string,string>")
+    rows = saved(resolved.withColumn("fallback", F.coalesce(F.col("category").startswith(FALLBACK_PREFIX), F.lit(False))), "resolved")
+    found = saved(extract.yields(rows.filter("category is not null and not fallback"), key, "norm", "category", register), "yields")
+    values = extract.extracted(found)
+    of = lambda role, out: extract.attribute_maps(values.filter(F.col("role") == role)).withColumnsRenamed({"key": key, "attributes": out})
+    wrong = extract.illegal(found).groupBy(F.col("key").alias(key)).agg(F.sort_array(F.collect_list(F.struct("attr", "rule_ord", "value"))).alias("illegal_values"))
+    rows = rows.join(of("identity", "identity"), key, "left").join(of("descriptive", "descriptive"), key, "left").join(wrong, key, "left")
+    rows = rows.withColumn("identity", F.coalesce("identity", empty)).withColumn("descriptive", F.coalesce("descriptive", empty))
+    linked = F.col("category").isNotNull()
+    rows = saved(rows.withColumn("identity_key", F.when(linked, catalog.identity_key(F.col("category"), F.col("identity")))), "attributed")
+    nodes = catalog.parents(catalog.nodes(rows.filter(linked))).select("identity_key", "node_id", "parent_id")
+    first = rows.filter(linked).groupBy("identity_key").agg(F.min("seq").alias("first_seq"))
+    out = rows.join(nodes, "identity_key", "left").join(first, "identity_key", "left")
+    found_basis = F.when(linked & ~F.col("fallback"), basis(F.col("norm")))
+    return out.select(
+        key,
+        "seq",
+        "raw_text",
+        F.col("norm").alias("normalized"),
+        F.when(linked, RESOLVED).otherwise(UNRESOLVED).alias("status"),
+        F.when(~linked, F.col("reason")).alias("unresolved_reason"),
+        "category",
+        "node_id",
+        F.coalesce(F.col("seq") == F.col("first_seq"), F.lit(False)).alias("created"),
+        "parent_id",
+        F.when(linked, extract.merged(F.col("identity"), F.col("descriptive"))).alias("attributes"),
+        "illegal_values",
+        found_basis["basis"].alias("price_basis"),
+        found_basis["pack_size"].alias("pack_size"),
+        "identity",
+        "descriptive",
+        "fallback",
+    )
+
+
+def run_stats(found: DataFrame, offers: str | None = None) -> DataFrame:
+    """kind, value and n: what became of the reported records, in one pass; offers names a column with the number of a record's offers."""
+    count = lambda kind, value, n: F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), n.cast("bigint").alias("n"))
+    linked = F.col("status") == RESOLVED
+    flag = lambda kind, yes: count("all", F.lit(kind), F.coalesce(yes, F.lit(False)).cast("int"))
+    parts = [
+        count("all", F.lit("total"), F.lit(1)),
+        flag("without_attributes", linked & ~F.col("fallback") & (F.size("attributes") == 0)),
+        flag("via_fallback", F.col("fallback")),
+        flag("created", F.col("created")),
+        count("all", F.lit("illegal"), F.coalesce(F.array_size("illegal_values"), F.lit(0))),
+        count("all", F.lit("offers_bound"), F.when(linked, F.coalesce(F.col(offers), F.lit(0))).otherwise(0) if offers else F.lit(0)),
+        count("status", F.col("status"), F.lit(1)),
+        count("category", F.col("category"), F.lit(1)),
+        count("basis", F.col("price_basis"), F.lit(1)),
+        count("reason", F.col("unresolved_reason"), F.lit(1)),
+    ]
+    return found.select(F.explode(F.array(*parts)).alias("s")).filter("s.value is not null").groupBy("s.kind", "s.value").agg(F.sum("s.n").alias("n"))
+
+
+def probe(rows: DataFrame, register: Register, key: str, text: str) -> DataFrame:
+    """examined, boilerplate, classified and with_attributes of texts, and the last three as shares: what texts beside rubric-only lines would tell."""
+    done = prepared(rows, text, "t", register).withColumn("category", F.when(status(F.col("t_cls")) == CLASSIFIED, F.col("t_cls.category")))
+    has = extract.extracted(extract.yields(done.filter("category is not null"), key, "t_norm", "category", register)).select(F.col("key").alias(key), F.lit(True).alias("has")).distinct()
+    counts = done.join(has, key, "left").agg(F.count("*").alias("examined"), F.count_if("t_rubric").alias("boilerplate"), F.count_if(F.col("category").isNotNull()).alias("classified"), F.count_if("has").alias("with_attributes"))
+    share = lambda c: (F.col(c) / F.greatest("examined", F.lit(1))).alias(f"share_{c}")
+    return counts.select("*", share("boilerplate"), share("classified"), share("with_attributes"))
+
+
+def tagged(attributes: Column, source: str | Column) -> Column:
+    """Each attribute's value with the text that gave it."""
+    tag = F.lit(source) if isinstance(source, str) else source
+    return F.transform_values(attributes, lambda _, v: F.struct(v.alias("value"), tag.alias("source")))
+
+
+def joined_illegal(*arrays: Column) -> Column:
+    """Illegal values of several texts, one after the other."""
+    none = F.array().cast("array<struct<attr:string,rule_ord:int,value:string>>")
+    return F.concat(*[F.coalesce(a, none) for a in arrays])
+
+
 def stats(resolved: DataFrame) -> DataFrame:
     """Counts of resolved records by what became of them."""
     measures = {"total": F.lit(True), "resolved": F.col("category").isNotNull(), "via_fallback": F.col("category_source").eqNullSafe("unspsc")}

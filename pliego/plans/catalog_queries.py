@@ -452,11 +452,12 @@ def deflate(spark, sf_dir):
 d as (select *, processed - lag(processed) over w as dn, ts - lag(ts) over w as dt, row_number() over (partition by run order by ts desc, processed desc) as back from s window w as (partition by run order by ts, processed)),
 g as (select run, count(*) as samples, arg_max(processed, (ts, processed)) as processed, coalesce(sum(dn) filter (where dn > 0 and dt > 0 and dt < 3600 and back < 20), 0) as dn,
     coalesce(sum(dt) filter (where dn > 0 and dt > 0 and dt < 3600 and back < 20), 0) as dt, coalesce(sum(dt) filter (where dn > 0 and dt > 0 and dt < 3600), 0) as active from d group by 1 having count(*) >= 2)
-select run, samples, processed, {cut('coalesce(dn / nullif(dt, 0) * 60, 0)')} as rate_per_min, {cut('active')} as active_secs from g""",
+select run, samples, processed, {cut('coalesce(dn / nullif(dt, 0) * 60, 0)')} as rate_per_min, {cut('active')} as active_secs,
+    {cut('case when processed < 20000000 and dn > 0 and dt > 0 then (20000000 - processed) / (dn / dt * 60) * 60 end')} as eta_secs from g""",
 )
 def progress_rate(spark, sf_dir):
-    samples = table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("run"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000.0).alias("ts"), F.col("event_id").alias("processed"), F.lit(None).cast("bigint").alias("total"))
-    return progress.rates(samples, "run").drop("eta_secs")
+    samples = table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("run"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000.0).alias("ts"), F.col("event_id").alias("processed"), F.lit(20_000_000).cast("bigint").alias("total"))
+    return progress.rates(samples, "run")
 
 
 @query("map_merge", f"with {EXTRACT_CTE}, own as (select key, attr, value from firsts union all select p_partkey, 'color', 'blue' from cls where p_partkey % 2 = 0 and not exists (select 1 from firsts f where f.key = p_partkey and f.attr = 'color')) select key, string_agg(attr || '=' || value, ',' order by attr) as attributes from own group by 1")
@@ -468,9 +469,18 @@ def map_merge(spark, sf_dir):
     return both.select("key", F.array_join(F.transform(F.sort_array(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("attributes"))
 
 
-@query("brand_collisions", "select p_brand as token, min(p_type) as category from part group by 1 having count(distinct p_type) = 1")
+@query("brand_collisions", "select p_brand || '/' || p_partkey % 97 as token, min(p_type) as category from part group by 1 having count(distinct p_type) = 1")
 def brand_collisions(spark, sf_dir):
-    return classify.brand_collisions(table(spark, sf_dir, "part").select(F.col("p_brand").alias("token"), F.col("p_type").alias("category")))
+    token = F.concat_ws("/", "p_brand", (F.col("p_partkey") % 97).cast("string"))
+    return classify.brand_collisions(table(spark, sf_dir, "part").select(token.alias("token"), F.col("p_type").alias("category")))
+
+
+@query("brand_merge", """with a as (select p_brand || '/' || p_size as token, min(p_type) as category from part where p_partkey % 2 = 0 group by 1), b as (select p_brand || '/' || p_size as token, max(p_type) as category from part where p_partkey % 2 = 1 group by 1)
+select token, coalesce(a.category, b.category) as category, coalesce(a.category <> b.category, false) as conflict from a full join b using (token)""")
+def brand_merge(spark, sf_dir):
+    pairs = table(spark, sf_dir, "part").select(F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("token"), F.col("p_type").alias("category"), (F.col("p_partkey") % 2).alias("side"))
+    side = lambda n, pick: pairs.filter(F.col("side") == n).groupBy("token").agg(pick("category").alias("category"))
+    return classify.merged_brands(side(0, F.min), side(1, F.max))
 
 
 @query("table_counts", "select 'part' as name, count(*) as n from part union all select 'orders', count(*) from orders union all select 'lineitem', count(*) from lineitem")
@@ -482,7 +492,7 @@ def table_counts(spark, sf_dir):
 @query("tier2_classify")
 def tier2_classify(spark, sf_dir):
     rows = _classified(spark, sf_dir).withColumn("label", F.col("classification.category"))
-    model = classify.train_tier2(rows.filter("label is not null").select("norm", "label").orderBy(F.xxhash64("norm", F.lit(0))).limit(80_000), "norm", "label", max_iter=10, features=5000)
+    model = classify.train_tier2(rows.filter("label is not null").select("norm", "label"), "norm", "label")
     return classify.tier2(rows.filter("label is null").select("p_partkey", "norm"), "norm", model).select("p_partkey", "tier2.category", "tier2.status")
 
 
