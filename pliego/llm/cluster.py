@@ -6,13 +6,11 @@ Nothing here keeps state on one machine: scratch tables are Parquet in the folde
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pliego.scratch import saved
+
 #: Rows and bytes of one Arrow batch between the JVM and a Python worker. A single longer
 #: text still travels whole, in a batch of its own size.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -20,33 +18,12 @@ BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 HOT, SALTS = 500, 64
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: the session's. Only in local mode, where one
-    machine is all there is, an unset one is made; on a cluster it must be set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="pliego-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: its lineage ends here."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/pliego-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def dropped(*tables: DataFrame) -> None:
     """Deletes what saved() wrote for tables that nothing needs any more."""
     for df in tables:
         for file in df.inputFiles()[:1]:
             folder = file.rsplit("/", 1)[0]
-            if "/pliego-" in folder:
+            if "/table-" in folder:
                 path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
@@ -70,5 +47,8 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+__all__ = ["bounded_batches", "dropped", "salted_join", "saved", "table"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

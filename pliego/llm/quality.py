@@ -32,7 +32,8 @@ GRAM, BUCKETS = 3, 1 << 16
 TRUSTED = 20_000
 #: Pseudo-count of a bucket in either multinomial, as a share of one n-gram in each bucket.
 SMOOTHING = 1.0
-#: Mean log ratio (nats an n-gram) below which a document goes.
+#: Mean log ratio (nats an n-gram) below which a document goes. Of the labelled documents that pass the base rules at
+#: the 0.1 scale (3,534), each threshold from -1.0 to -0.05 rejects all 291 bad ones and none of the 3,243 good ones.
 THRESHOLD = -0.4
 #: Base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50

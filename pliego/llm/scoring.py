@@ -19,7 +19,8 @@ them) are broadcast; the others' counts meet the texts that hold them in packed
 task and hash range, so no word of a text is a shuffled row and nothing of the corpus is collected.
 
 Texts in A-Z are lowered for both models. Nulls count as empty texts, which consist of an end alone.
-Equal texts are one in the second exchange, however often they stand. Empty tables give empty
+Equal texts are one in the second exchange, however often they stand; the rows of one that many documents
+share are dealt over tasks when they meet its answer. Empty tables give empty
 results. Other columns are not read.
 """
 
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pliego.llm.cluster import bounded_batches, saved
+from pliego.llm.cluster import bounded_batches, salted_join, saved
 from pliego.llm.words import LOWER, U64, split_words, text_bytes, text_hashes, windows, word_hashes
 
 #: Bytes of context; the end symbol, no byte of UTF-8.
@@ -502,7 +503,7 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
         vocabulary = counts.filter(f"kind = {WORDS_KIND}").select("range", "keys", "counts")
         rest = asked.groupBy("range").cogroup(vocabulary.groupBy("range")).applyInArrow(answer, "text_range int, texts binary, logs binary, found binary")
         rest = rest.groupBy("text_range").applyInArrow(add_up, "text_key long, logs double, found long")
-        out = out.join(rest, "text_key", "left")
+        out = salted_join(out, rest, "text_key")
     else:
         out = out.withColumn("logs", F.lit(0.0)).withColumn("found", F.lit(0).cast("long"))
     return out.select(
