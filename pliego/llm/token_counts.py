@@ -1,8 +1,12 @@
 """Token counts of whole texts by a two-tier lookup that never shuffles a pre-token.
 
-Tier one is a compact hash table of frequent pre-tokens and their lengths in tokens, made once
-and broadcast; tier two is each worker's own bounded cache, filled by the library's encoder.
-Both tiers hold what the library returns, so counts never depend on what is in either.
+A text is cut before its single spaces, where the library's own pre-tokenizer always ends a pre-token, so that
+lengths add up whatever stands between: a pre-token here is a word with what clings to it and the space before
+it. Tier one is a compact hash table of frequent pre-tokens and their lengths in tokens, made once and
+broadcast; tier two is each worker's own bounded cache, filled by the library's encoder. Both tiers hold
+what the library returns, so counts never depend on what is in either. Texts where a space follows
+other white space are cut by the library's pattern instead, and go to the library whole where a code point is
+in them on which its classes and the matcher's may differ, or a special string.
 
 Nulls count as empty texts, empty texts have no tokens, repeated rows are counted each, an empty
 table gives an empty table, and other columns of the input are not read.
@@ -26,8 +30,11 @@ from pliego.llm.cluster import bounded_batches, saved
 TABLE_SIZE, SUMMARY_SIZE, CACHE_SIZE, CACHED_CHARS = 1 << 15, 1 << 12, 300_000, 64
 #: Summaries merged by one task.
 FAN_IN = 32
-#: A text of more characters than this is matched piece by piece, not as a list.
+#: A text of more characters than this is cut into stretches of so many, not into one list.
 LONG_TEXT = 1 << 20
+#: White space before a space.
+RUNS = ("  ", "\n ", "\t ", "\r ", "\v ", "\f ")
+OTHER_RUNS = regex.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff] ")
 
 #: Code points on which the matcher below and the library's own may disagree on letters, numbers and spaces,
 #: as they follow different Unicode versions (a test holds both against each other); a text with one of them goes to the library whole.
@@ -45,8 +52,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.pattern = regex.compile(PATTERN)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.lengths = Lengths(self.whole, table)
+        self.special = special
+        self.lengths = Lengths(self.whole, {})
+        self.spaced = Lengths(lambda word: self.whole(" " + word), table)
 
     def whole(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -55,9 +63,26 @@ class Encoder:
         return map(regex.Match.group, self.pattern.finditer(text)) if len(text) > LONG_TEXT else iter(self.pattern.findall(text))
 
     def count(self, text: str) -> int:
-        if OTHER_CODE_POINTS.search(text) or self.special and self.special.search(text):
+        if any(x in text for x in self.special):
             return self.whole(text)
-        return sum(map(self.lengths.__getitem__, self.pieces(text)))
+        if any(x in text for x in RUNS) or not text.isascii() and OTHER_RUNS.search(text):
+            if OTHER_CODE_POINTS.search(text):
+                return self.whole(text)
+            return sum(map(self.lengths.__getitem__, self.pieces(text)))
+        stretches = words(text)
+        return self.lengths[next(stretches)] + sum(map(self.spaced.__getitem__, stretches)) if text else 0
+
+
+def words(text: str) -> Iterator[str]:
+    """What stands between the spaces of a text."""
+    if len(text) <= LONG_TEXT:
+        yield from text.split(" ")
+        return
+    at = 0
+    while at >= 0:
+        end = text.find(" ", at + LONG_TEXT)
+        yield from (text[at:] if end < 0 else text[at:end]).split(" ")
+        at = end + 1 if end >= 0 else -1
 
 
 class Lengths(dict):
@@ -86,15 +111,14 @@ def _summary(counts: Counter, size: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array([[k for k, _ in top]], pa.list_(pa.string())), pa.array([[n for _, n in top]], pa.list_(pa.int64()))], names=["piece", "n"])
 
 
-def frequent_pieces(texts: DataFrame, pattern: str, size: int = TABLE_SIZE) -> list[str]:
-    """Frequent pre-tokens of all texts, from one bounded summary a partition, merged as a tree."""
+def frequent_words(texts: DataFrame, size: int = TABLE_SIZE) -> list[str]:
+    """Frequent pre-tokens of all texts, without their space, from one bounded summary a partition, merged as a tree."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, counts = regex.compile(pattern), Counter()
+        counts: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for at in range(0, len(text or ""), LONG_TEXT):
-                    counts.update(find.findall(text[at : at + LONG_TEXT]))
+                counts.update(words(text or ""))
             if len(counts) > 64 * SUMMARY_SIZE:
                 counts = Counter(dict(_top(counts, 16 * SUMMARY_SIZE)))
         yield _summary(Counter({k: n for k, n in counts.items() if len(k) <= CACHED_CHARS}), SUMMARY_SIZE)
@@ -121,12 +145,10 @@ def frequent_pieces(texts: DataFrame, pattern: str, size: int = TABLE_SIZE) -> l
 
 def count_tokens(docs: DataFrame, path: str, max_tokens: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_bytes, n_tokens and over_limit of every row of docs."""
-    from public_tokenizers import PATTERN
-
     spark = docs.sparkSession
     bounded_batches(spark)
     encoder = Encoder(path, {})
-    table = {piece: encoder.whole(piece) for piece in frequent_pieces(docs.select(text), PATTERN)}
+    table = {word: encoder.whole(" " + word) for word in frequent_words(docs.select(text))}
     shared = spark.sparkContext.broadcast(table)  # TABLE_SIZE short strings at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -77,6 +77,21 @@ def test_token_counts_of_many_partitions_and_long_texts(spark, monkeypatch):
     assert {r.doc_id: r.n_tokens for r in got} == {r[0]: len(library.encode(r[1], add_special_tokens=False).ids) for r in rows}
 
 
+def test_cuts_before_spaces_never_change_a_count(monkeypatch):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    encoder = token_counts.Encoder(path("byte_bpe_50k.json"), {"b": library.encode(" b").ids.__len__()})
+    rnd = random.Random(51)
+    bits = ["a", "b", " ", " ", "  ", "   ", "\n", "\t", "\r\n", "\x0b", "\u00a0", "\u3000", "\u2028", "\x1c", "'s", "don't", "12", "!?", "é", "नम", "😀", "<|endoftext|>", "\u0558", "word"]
+    for long in (1 << 20, 3):
+        monkeypatch.setattr(token_counts, "LONG_TEXT", long)
+        for _ in range(4000):
+            text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12)))
+            assert encoder.count(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
+
+
 def base_secrets(text):
     found = [("assign", *m.span()) for m in re.finditer(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 6]
     found += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
