@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import heapq
 import os
+import string
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -27,7 +29,7 @@ from pliego.llm.cluster import bounded_batches, saved
 
 #: Pre-tokens in the broadcast table, in one partition's summary, and in a worker's cache. These
 #: bound memory and change no count. A cached pre-token has CACHED_CHARS characters at most.
-TABLE_SIZE, SUMMARY_SIZE, CACHE_SIZE, CACHED_CHARS = 1 << 15, 1 << 12, 300_000, 64
+TABLE_SIZE, SUMMARY_SIZE, CACHE_SIZE, CACHED_CHARS = 1 << 15, 1 << 12, 1 << 20, 64
 #: Summaries merged by one task.
 FAN_IN = 32
 #: A text of more characters than this is cut into stretches of so many, not into one list.
@@ -41,6 +43,17 @@ OTHER_RUNS = regex.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2
 OTHER_CODE_POINTS = regex.compile("[\u0558\u058b\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7c0-\ua7ff\uab6c\uab6d\U00010000-\U0001efff\U00020000-\U0010ffff]")
 
 
+#: Characters after which, and before which, a mark or a line's end is always a pre-token of its own.
+WORD_END, MARKS = frozenset(string.ascii_letters + string.digits), frozenset(string.punctuation)
+INNER = MARKS | WORD_END
+
+
+@lru_cache(1)
+def encoder_of(path: str, table: tuple) -> Encoder:
+    """This worker's encoder, with what it has learned in earlier tasks."""
+    return Encoder(path, dict(table))
+
+
 class Encoder:
     """The library's tokenizer with the two tiers before it."""
 
@@ -54,7 +67,7 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = special
         self.lengths = Lengths(self.whole, {})
-        self.spaced = Lengths(lambda word: self.whole(" " + word), table)
+        self.spaced = Spaced(lambda word: self.whole(" " + word), table, self.lengths)
 
     def whole(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -102,6 +115,22 @@ class Lengths(dict):
         return n
 
 
+class Spaced(Lengths):
+    """Tokens of a word after its space. A word that ends in a mark, or a line, adds up from its parts, so that only the word takes room."""
+
+    def __init__(self, encode, table: dict[str, int], bare: Lengths):
+        super().__init__(encode, table)
+        self.bare = bare
+
+    def __missing__(self, word: str) -> int:
+        if word[-1:] in MARKS and word[-2:-1] in WORD_END:
+            return self[word[:-1]] + self.bare[word[-1]]
+        head, line, tail = word.partition("\n")
+        if line and head[-1:] in INNER and tail[:1] in INNER:
+            return self[head] + self.bare[line] + self.bare[tail]
+        return super().__missing__(word)
+
+
 def _top(counts: Counter, size: int) -> list[tuple[str, int]]:
     return heapq.nsmallest(size, counts.items(), key=lambda x: (-x[1], x[0]))
 
@@ -149,10 +178,10 @@ def count_tokens(docs: DataFrame, path: str, max_tokens: int, text: str = "text"
     bounded_batches(spark)
     encoder = Encoder(path, {})
     table = {word: encoder.whole(" " + word) for word in frequent_words(docs.select(text))}
-    shared = spark.sparkContext.broadcast(table)  # TABLE_SIZE short strings at most
+    shared = spark.sparkContext.broadcast(tuple(sorted(table.items())))  # TABLE_SIZE short strings at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, shared.value)
+        encoder = encoder_of(path, shared.value)
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             tokens = [encoder.count(x) for x in texts]
