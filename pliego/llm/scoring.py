@@ -47,6 +47,8 @@ RANGE_TOKENS, HELD = 4_000_000, 3_000_000
 RANGE_TEXTS = 20_000
 #: Characters of the texts that ask for their grams together, about.
 CHUNK = 2_500_000
+#: Chunks whose questions to one range a task answers; further ones go to another task, with the range's contexts.
+PART_CHUNKS = 2000
 #: Hash of the end token: no word's, as a word's hash comes from its bytes.
 END_TOKEN = 0x7E57_E4D0_0BAD_F00D
 
@@ -493,10 +495,13 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
         begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         return pa.table({"text_key": key[begins], "logs": np.add.reduceat(log[by], begins), "found": np.add.reduceat(hits[by], begins)})
 
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(max(1, -(-length // chunk)))))
-    asked_grams = dealt.groupBy("chunk").applyInArrow(ask_grams, "range int, chunk long, grams binary")
-    contexts = counts.filter(f"kind = {GRAMS_KIND}").select("range", "keys", "counts")
-    answers = asked_grams.groupBy("range").cogroup(contexts.groupBy("range")).applyInArrow(answer_grams, "chunk long, grams binary, logs binary")
+    chunks = max(1, -(-length // chunk))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)))
+    # A frequent pair of bytes is asked for by every chunk: its range's questions are dealt over parts.
+    parts = -(-chunks // PART_CHUNKS)
+    asked_grams = dealt.groupBy("chunk").applyInArrow(ask_grams, "range int, chunk long, grams binary").withColumn("part", F.floor(F.col("chunk") / PART_CHUNKS).cast("int"))
+    contexts = counts.filter(f"kind = {GRAMS_KIND}").select("range", "keys", "counts", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    answers = asked_grams.groupBy("range", "part").cogroup(contexts.groupBy("range", "part")).applyInArrow(answer_grams, "chunk long, grams binary, logs binary")
     out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(first_part, f"key {rows.schema['key'].dataType.simpleString()}, held_out boolean, text_key long, n_tokens long, known long, base double, score double")
     if not whole_vocabulary and n_train:
         asked = rows.select("text").mapInArrow(ask, _ASKED)

@@ -117,7 +117,7 @@ def test_learned_model_beats_order_zero_on_held_out_texts():
     assert -scoring.score_adaptive(body.tobytes()) < 4 * entropy
 
 
-def test_rare_contexts_count_in_a_corpus_of_many(spark):
+def test_rare_contexts_count_in_a_corpus_of_many(spark, monkeypatch):
     """The former model kept at most 4,000 contexts an order; here most stand in one text each."""
     rnd = random.Random(11)
     rows = [(i, "".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(400)), "x") for i in range(60)]
@@ -126,6 +126,8 @@ def test_rare_contexts_count_in_a_corpus_of_many(spark):
     assert len({t[i : i + 4] for t in train for i in range(len(t))}) > 4000
     model = ppm(train)
     want = [model(t) for _, t, _ in rows]
-    for how in ({}, {"chunk": 5000}):
+    for how in ({}, {"chunk": 5000}, {"chunk": 1000}):
+        if how.get("chunk") == 1000:
+            monkeypatch.setattr(scoring, "PART_CHUNKS", 3)
         got = {r.doc_id: r.score for r in scoring.score(df, **how).collect()}
         assert [got[k] for k, _, _ in rows] == pytest.approx(want, abs=1e-6)
