@@ -47,8 +47,8 @@ RANGE_TOKENS, HELD = 4_000_000, 3_000_000
 RANGE_TEXTS = 20_000
 #: Characters of the texts that ask for their grams together, about.
 CHUNK = 2_500_000
-#: Chunks whose questions to one range a task answers; further ones go to another task, with the range's contexts.
-PART_CHUNKS = 2000
+#: Grams of the training rows in one range for each task that answers its questions: a frequent pair of bytes has several.
+PART_GRAMS = 100_000_000
 #: Hash of the end token: no word's, as a word's hash comes from its bytes.
 END_TOKEN = 0x7E57_E4D0_0BAD_F00D
 
@@ -395,6 +395,11 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
     whole_vocabulary = len(head_keys) == n_distinct
     model = spark.sparkContext.broadcast((head_keys, head_counts))
     pairs = spark.sparkContext.broadcast(pair_counts(counts))
+    # Every chunk asks for the frequent pairs of bytes: their ranges' questions are dealt over parts, and their
+    # contexts go to each. Ranges hold a pair each at the least, so that there are 65,536 rows at most.
+    n_parts = (F.floor(F.col("total") / PART_GRAMS) + 1).cast("int")
+    dealt_ranges = counts.filter(f"kind = {GRAMS_KIND} and total >= {PART_GRAMS}").select("range", n_parts.alias("parts")).collect()
+    parts = spark.sparkContext.broadcast({r["range"]: r.parts for r in dealt_ranges})
 
     def known_head(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         head_keys, head_counts = model.value
@@ -414,7 +419,9 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
         by = np.argsort(place, kind="stable")
         at = np.searchsorted(place[by], np.arange(ranges + 1))
         used = np.flatnonzero(np.diff(at))
-        return pa.table({"range": pa.array(used, pa.int32()), "chunk": pa.array([texts["chunk"][0].as_py()] * len(used), pa.int64()), "grams": pa.array([keys[by[at[r] : at[r + 1]]].tobytes() for r in used], pa.binary())})
+        chunk = texts["chunk"][0].as_py()
+        part = pa.array([chunk % parts.value.get(r, 1) for r in used.tolist()], pa.int32())
+        return pa.table({"range": pa.array(used, pa.int32()), "part": part, "chunk": pa.array([chunk] * len(used), pa.int64()), "grams": pa.array([keys[by[at[r] : at[r + 1]]].tobytes() for r in used], pa.binary())})
 
     def answer_grams(_key, asked: pa.Table, known: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, U64) for x in asked["grams"].to_pylist()]
@@ -497,10 +504,8 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
 
     chunks = max(1, -(-length // chunk))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)))
-    # A frequent pair of bytes is asked for by every chunk: its range's questions are dealt over parts.
-    parts = -(-chunks // PART_CHUNKS)
-    asked_grams = dealt.groupBy("chunk").applyInArrow(ask_grams, "range int, chunk long, grams binary").withColumn("part", F.floor(F.col("chunk") / PART_CHUNKS).cast("int"))
-    contexts = counts.filter(f"kind = {GRAMS_KIND}").select("range", "keys", "counts", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    asked_grams = dealt.groupBy("chunk").applyInArrow(ask_grams, "range int, part int, chunk long, grams binary")
+    contexts = counts.filter(f"kind = {GRAMS_KIND}").select("range", "keys", "counts", F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part"))
     answers = asked_grams.groupBy("range", "part").cogroup(contexts.groupBy("range", "part")).applyInArrow(answer_grams, "chunk long, grams binary, logs binary")
     out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(first_part, f"key {rows.schema['key'].dataType.simpleString()}, held_out boolean, text_key long, n_tokens long, known long, base double, score double")
     if not whole_vocabulary and n_train:

@@ -128,6 +128,6 @@ def test_rare_contexts_count_in_a_corpus_of_many(spark, monkeypatch):
     want = [model(t) for _, t, _ in rows]
     for how in ({}, {"chunk": 5000}, {"chunk": 1000}):
         if how.get("chunk") == 1000:
-            monkeypatch.setattr(scoring, "PART_CHUNKS", 3)
+            monkeypatch.setattr(scoring, "PART_GRAMS", 300)
         got = {r.doc_id: r.score for r in scoring.score(df, **how).collect()}
         assert [got[k] for k, _, _ in rows] == pytest.approx(want, abs=1e-6)
