@@ -1,7 +1,8 @@
 """Command line: ``python -m pliego.cli COMMAND``.
 
 Source tables are Parquet folders of the contracts in ``pliego.sources.readers`` under --data: tender, tender_item, offer;
-rates, if any, under fx (indicator, d, value). The register is a JSON file, the catalog a folder of snapshots.
+rates, if any, under fx (indicator, d, value). The pricing report reads bid (item_key, rut_proveedor, nombre_proveedor,
+unidades, precio, adjudicada) and bid_item (item_key, anio, producto, rut_comprador, nombre_comprador, ...). The register is a JSON file, the catalog a folder of snapshots.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pliego import html_report
 from pliego.functions.text import regex_stems
 from pliego.model import Category, Register, load_register
-from pliego.operators import catalog, classify, price, profile, resolve
+from pliego.operators import catalog, classify, price, profile, report, resolve
 from pliego.plans import steps
 from pliego.register import merged_brands
 from pliego.session import session
@@ -177,6 +179,15 @@ def run_register(spark: SparkSession, args) -> int:
     return 0
 
 
+def run_report(spark: SparkSession, args) -> int:
+    """The base matrix of a supplier and its HTML page."""
+    bids, items = (readers.columnar(spark, f"{args.data}/{t}") for t in ("bid", "bid_item"))
+    entity = spark.range(1).select(F.lit(args.rut).cast(bids.schema["rut_proveedor"].dataType)).first()[0]
+    page = html_report.write(report.base_matrix(bids, items, entity), entity, args.out, args.name)
+    print(page or f"no rows of {args.rut}")
+    return 0
+
+
 def run_pipeline(spark: SparkSession, args) -> int:
     data = Path(args.data_dir)
     data.mkdir(parents=True, exist_ok=True)
@@ -242,6 +253,10 @@ def parser() -> argparse.ArgumentParser:
     p = command("price-series", run_series, help="awarded prices of a category")
     p.add_argument("category")
     p.add_argument("--out", default="data/series.csv")
+    p = command("report", run_report, help="competitive pricing of a supplier: matrix and HTML page")
+    p.add_argument("--rut", required=True)
+    p.add_argument("--name", help="display name; the supplier's own by default")
+    p.add_argument("--out", default="data/report")
     p = command("train-tier2", run_train, help="train the statistical tier on curated records")
     p.add_argument("--min-rows", type=int, default=500)
     p.add_argument("--eval", action="store_true")

@@ -117,23 +117,27 @@ def slug(c: Column) -> Column:
     return F.regexp_replace(c, r"^_+|_+$", "")
 
 
+def _minus(c: Column) -> Column:
+    return F.when(c < 0, "-").otherwise("")
+
+
 def money(c: Column) -> Column:
-    """Whole pesos with dots between thousands."""
-    return F.concat(F.lit("$ "), F.translate(F.format_number(c, 0), ",", "."))
+    """Whole pesos with dots between thousands; a sign comes first."""
+    return F.concat(_minus(c), F.lit("$ "), F.translate(F.format_number(F.abs(c), 0), ",", "."))
 
 
 def millions(c: Column) -> Column:
-    """Millions with one decimal: dots between thousands and a decimal comma."""
-    return F.concat(F.lit("MM$ "), F.translate(F.format_number(c / 1e6, 1), ",.", ".,"))
+    """Millions with one decimal: dots between thousands and a decimal comma; a sign comes first."""
+    return F.concat(_minus(c), F.lit("MM$ "), F.translate(F.format_number(F.abs(c) / 1e6, 1), ",.", ".,"))
 
 
 def percent(c: Column) -> Column:
-    return F.concat(F.format_number(c * 100, 1), F.lit("%"))
+    return F.when(c.isNotNull(), F.format_string("%.1f%%", (c * 100).cast("double")))
 
 
 def signed(c: Column) -> Column:
     n = F.format_number(F.abs(c), 0)
-    return F.when(c > 0, F.concat(F.lit("+"), n)).when(c < 0, F.concat(F.lit("−"), n)).otherwise("0")
+    return F.when(c > 0, F.concat(F.lit("+"), n)).when(c < 0, F.concat(F.lit("−"), n)).when(c == 0, "0")
 
 
 def title_case(c: Column) -> Column:

@@ -93,20 +93,22 @@ def load_register(text: str) -> Register:
 
 
 def curate(attributes: list[Attribute], limit: int = 6) -> list[Attribute]:
-    """What of a proposed schema can be used: compiling rules, with a group where the template needs one, and values inside a domain without repeats."""
+    """What of a proposed schema can be used: known roles, compiling rules, with a group for the template's place, and values inside a domain without repeats."""
     out = []
     for a in attributes[:limit]:
         domain = tuple(dict.fromkeys(a.domain))
+        if a.role not in ROLES:
+            continue
         rules = []
         for r in a.rules:
             try:
                 groups = re.compile(r.pattern).groups
             except re.error:
                 continue
-            if r.kind == "regex" and groups < 1 or r.kind == "keyword" and r.value not in domain:
+            if r.kind == "regex" and (groups < 1 or "{1}" not in r.value) or r.kind == "keyword" and r.value not in domain:
                 continue
             rules.append(r)
-        if rules and domain:
+        if domain:
             out.append(Attribute(a.name, a.role, domain, tuple(rules), a.unit))
     return out
 
