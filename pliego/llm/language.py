@@ -12,7 +12,8 @@ posterior against all others, for evidence that grows as the square root of the
 
 A batch is worked on in slices of whole texts of ``SLICE`` bytes, one language at a time, so that a worker
 holds one number a word and language of a slice. The model is one vector of ``BUCKETS`` a language:
-it grows with the number of languages, not with the corpus.
+it grows with the number of languages, not with the corpus. More than ``MAX_LANGUAGES`` different values
+of lang are no languages but a column that needs cleaning, and an error before a task or the driver holds more.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text where nothing could be
 learned. Ties go to the first language by code point. Repeated rows are repeated draws in fitting and
@@ -34,6 +35,8 @@ from pliego.llm.words import LOWER, U64, mix, split_words, text_bytes
 #: Orders of the n-grams (bytes), and buckets they are hashed to.
 ORDERS, BUCKETS = (2, 3, 4), 1 << 15
 SMOOTHING = 0.5
+#: Values of lang that a model may have: 0.6 GB of counts in a task, and half that in the model, at most.
+MAX_LANGUAGES = 2500
 #: Bytes of the texts whose words are worked on together; a longer text is a slice of its own.
 SLICE = 1 << 20
 #: Log-likelihood of one n-gram below the best language's, at most: one odd gram decides nothing.
@@ -72,6 +75,11 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
+def _checked(languages: int) -> None:
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
+
+
 def fit(docs: DataFrame, text: str, lang: str, training: Column) -> tuple[list[str], np.ndarray]:
     """The languages, and each bucket's log-likelihood under each of them, from all training rows."""
     bounded_batches(docs.sparkSession)
@@ -83,6 +91,7 @@ def fit(docs: DataFrame, text: str, lang: str, training: Column) -> tuple[list[s
             for one in set(langs):
                 body, at = text_bytes(batch.column(0).filter(pa.array(langs == one)))
                 total = counts.setdefault(one, np.zeros(BUCKETS, np.int64))
+                _checked(len(counts))
                 for bucket, _ in gram_buckets(body, at):
                     total += np.bincount(bucket, minlength=BUCKETS)
         yield pa.record_batch([pa.array(list(counts), pa.string()), pa.array([n.tobytes() for n in counts.values()], pa.binary())], names=["lang", "counts"])
@@ -98,7 +107,11 @@ def fit(docs: DataFrame, text: str, lang: str, training: Column) -> tuple[list[s
     parts = rows.mapInArrow(count, "lang string, counts binary")
     for by in (["lang", F.spark_partition_id() % STEP], ["lang"]):
         parts = parts.groupBy(*by).applyInArrow(add_up, "lang string, counts binary")
-    found = sorted(((r.lang, r.counts) for r in parts.toLocalIterator()), key=lambda x: x[0])
+    found = []
+    for r in parts.toLocalIterator():
+        found.append((r.lang, r.counts))
+        _checked(len(found))
+    found.sort(key=lambda x: x[0])
     langs = [x for x, _ in found]
     counts = np.array([np.frombuffer(n, np.int64) for _, n in found], np.float64).reshape(len(langs), BUCKETS)
     total = counts.sum(1, keepdims=True)

@@ -295,3 +295,12 @@ def test_language_slices_doubt_and_many_languages(spark, monkeypatch):
     for a, b in zip(whole, language.infer(texts, likelihood), strict=True):
         assert (a is None) == (b is None) and (a is None or np.allclose(a[0], b[0], atol=1e-4) and abs(a[1] - b[1]) < 1e-3)
     assert len(langs) == 2
+
+
+def test_a_lang_column_of_too_many_values_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    rows = [(k, "abc def", f"l{k % 4}", "s", 1) for k in range(40)]
+    for parts in (1, 20):  # in one task, or not before the driver
+        with pytest.raises(Exception, match="more than 3 values of lang"):
+            language.identify(spark.createDataFrame(rows, DOCS).repartition(parts)).collect()
+    assert language.identify(spark.createDataFrame([r for r in rows if r[2] != "l3"], DOCS)).count() == 30
