@@ -18,6 +18,8 @@ Words, shingles and sets go by 64-bit hashes: two that share one count as equal.
 shingles are one node, so copies never meet in pairs. Signatures travel packed, a row for each task
 and range of signatures; one that many sets of a task share is collapsed there to a single forwarded
 entry. Beyond ``COARSE`` ranges they are dealt in two exchanges, so that a packed row keeps its size.
+A packed row names its sets by ``TAG_BITS`` bits of their hashes, in order and as differences. A tag of
+several sets stands for all of them, and they form a bucket of their own, so that no pair is lost by it.
 
 Sets that share a signature form a bucket. In rounds, each set is compared inside its buckets with the
 first sets of another component that a parity sketch can't rule out (the sketches' distance never
@@ -61,6 +63,8 @@ FLUSH, RANGE = 1_500_000, 1_500_000
 HOT = 64
 #: Ranges that one exchange deals to; beyond it, a second follows.
 COARSE = 2048
+#: Bits of a set's hash that travel with its signatures, 32 at most.
+TAG_BITS = 32
 #: Sets of a bucket that one task compares, about.
 BUCKET = 20_000
 #: Sets from which the order of rarity is drawn, and its shingles: they decide on speed alone.
@@ -154,6 +158,7 @@ def described(docs: DataFrame, text: str, key: str, row: Column | None = None) -
     return rows.mapInArrow(describe, f"key {rows.schema['key'].dataType.simpleString()}, row_key long, n_shingles long, set_key long, sketch binary")
 
 
+#: Of entries, who tells how many of sigs each of keys owns, and keys are tags; see _named.
 _PACKED = "range int, kind int, sigs binary, who binary, keys binary"
 #: Kinds of packed rows: entries by the low half of their signature or by all of it, members of a hot signature, its forwarded entry.
 ENTRIES, MEMBERS, FORWARDED, WHOLE_ENTRIES = range(4)
@@ -167,6 +172,24 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["range", "kind", "sigs", "who", "keys"])
 
 
+def _named(owner: np.ndarray, keys: np.ndarray) -> tuple[bytes, bytes]:
+    """who and keys of entries whose owners ascend, as do their keys: the width and numbers of entries a key, and the keys' differences, compressed by planes of bytes."""
+    begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    n = np.diff(np.append(begins, len(owner)))
+    n = n.astype(np.min_scalar_type(n.max()))
+    steps = np.diff(keys[owner[begins]], prepend=0).astype(np.uint32)
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T)
+    return bytes([n.itemsize]) + n.tobytes(), pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _owners(who: bytes, keys: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a packed row of entries, and each entry's index in them."""
+    n = np.frombuffer(who, f"u{who[0]}", offset=1)
+    planes = np.frombuffer(pa.decompress(keys, decompressed_size=4 * len(n), codec="zstd", asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.int64), np.repeat(np.arange(len(n)), n)
+
+
 def _pack(sigs: np.ndarray, owner: np.ndarray, keys: np.ndarray, ranges: int, hot: int, whole: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows of (range, kind, sigs, who, keys)."""
     by = np.argsort(sigs, kind="stable")
@@ -184,36 +207,36 @@ def _pack(sigs: np.ndarray, owner: np.ndarray, keys: np.ndarray, ranges: int, ho
         sigs, owner = sigs[~is_hot], owner[~is_hot]
     place = _place(sigs, ranges)
     edges = np.append(np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])), len(place)) if len(place) else [0]
+    order = np.argsort(keys, kind="stable")
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.arange(len(keys))
+    keys, owner = keys[order], rank[owner]
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        used, who = np.unique(owner[a:b], return_inverse=True)
-        rows.append((int(place[a]), WHOLE_ENTRIES if whole else ENTRIES, (sigs[a:b] if whole else sigs[a:b].astype(np.uint32)).tobytes(), who.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), keys[used].tobytes()))
+        by = a + np.argsort(owner[a:b], kind="stable")
+        rows.append((int(place[a]), WHOLE_ENTRIES if whole else ENTRIES, (sigs[by] if whole else sigs[by].astype(np.uint32)).tobytes(), *_named(owner[by], keys)))
     if rows:
         yield _batch(rows)
 
 
-def _owners(who: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(who, np.uint16 if len(who) == 2 * n else np.uint32)
-
-
 def _buckets(packed: pa.Table) -> pa.Table:
-    """(bucket, set_key) of the sets in one range that share a signature."""
+    """(bucket, set_key) of the sets in one range that share a signature, by the keys that were packed."""
     sigs, keys, full = [], [], []
     out_bucket, out_key = [], []
     for kind, s, who, k in zip(*(packed[c].to_pylist() for c in ("kind", "sigs", "who", "keys")), strict=True):
-        owners = np.frombuffer(k, np.int64)
         if kind == MEMBERS:
             out_bucket.append(np.frombuffer(s, np.int64))
-            out_key.append(owners)
+            out_key.append(np.frombuffer(k, np.int64))
         elif kind == FORWARDED:
             whole = np.frombuffer(s, U64)
             sigs.append(whole.astype(np.uint32))
             full.append(whole)
-            keys.append(owners)
+            keys.append(np.frombuffer(k, np.int64))
         else:
             short = np.frombuffer(s, np.uint32)
+            of, owner = _owners(who, k)
             sigs.append(short)
             full.append(np.zeros(len(short), U64))
-            keys.append(owners[_owners(who, len(short))])
+            keys.append(of[owner])
     if sigs:
         sig, key, whole = np.concatenate(sigs), np.concatenate(keys), np.concatenate(full)
         by = np.lexsort((key, sig))
@@ -268,9 +291,10 @@ class Held:
         self.clear()
 
 
-def shared_signatures(docs: DataFrame, text: str, ranges: int, hot: int = HOT, coarse: int = COARSE) -> DataFrame:
-    """(bucket, set_key): which sets share which signatures."""
+def shared_signatures(docs: DataFrame, text: str, keys: DataFrame, ranges: int, hot: int = HOT, coarse: int = COARSE, tag_bits: int = TAG_BITS) -> DataFrame:
+    """(bucket, set_key): which sets share which signatures. keys(set_key) holds every set's, or repeats them."""
     two = ranges > coarse
+    mask = (1 << tag_bits) - 1
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -281,16 +305,17 @@ def shared_signatures(docs: DataFrame, text: str, ranges: int, hot: int = HOT, c
                     continue
                 seen.add(k)
                 own = signatures(s)
-                yield from held.add(own, np.zeros(len(own), np.int64), np.array([k], np.int64))
+                yield from held.add(own, np.zeros(len(own), np.int64), np.array([k & mask], np.int64))
         yield from held.pack()
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Held(ranges, hot)
         for batch in batches:
             for r, kind, s, who, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sigs, keys = np.frombuffer(s, U64), np.frombuffer(k, np.int64)
+                sigs = np.frombuffer(s, U64)
                 if kind == WHOLE_ENTRIES:
-                    yield from held.add(sigs, _owners(who, len(sigs)), keys)
+                    of, owner = _owners(who, k)
+                    yield from held.add(sigs, owner, of)
                 else:
                     yield _batch([(int(_place(sigs[:1], ranges)[0]) if kind == FORWARDED else r, kind, s, who, k)])
         yield from held.pack()
@@ -298,7 +323,11 @@ def shared_signatures(docs: DataFrame, text: str, ranges: int, hot: int = HOT, c
     packed = docs.select(text).mapInArrow(sign, _PACKED)
     if two:
         packed = packed.repartition(coarse, "range").mapInArrow(refine, _PACKED)
-    return packed.groupBy("range").applyInArrow(_buckets, "bucket long, set_key long").distinct()
+    found = packed.groupBy("range").applyInArrow(_buckets, "bucket long, set_key long").withColumnRenamed("set_key", "tag")
+    # One exchange by tag serves both the distinct and the join.
+    tagged = keys.select(F.col("set_key").bitwiseAND(F.lit(mask)).alias("tag"), "set_key").repartition("tag").groupBy("tag").agg(F.collect_set("set_key").alias("of"))
+    named = found.repartition("tag").distinct().join(tagged, "tag").select("bucket", F.explode("of").alias("set_key"))
+    return named.unionByName(tagged.filter(F.size("of") > 1).select(F.xxhash64("tag").alias("bucket"), F.explode("of").alias("set_key")))
 
 
 def _distances(one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -567,11 +596,11 @@ def split_large(members: DataFrame, per_set: DataFrame, known: Links, limit: int
     return saved(small.unionByName(block_pairs(dealt, sizes.filter(F.col("count") > limit), limit)))
 
 
-def set_components(docs: DataFrame, described_rows: DataFrame, text: str, hot: int = HOT, bucket: int = BUCKET, ranges: int | None = None, coarse: int = COARSE) -> DataFrame:
+def set_components(docs: DataFrame, described_rows: DataFrame, text: str, hot: int = HOT, bucket: int = BUCKET, ranges: int | None = None, coarse: int = COARSE, tag_bits: int = TAG_BITS) -> DataFrame:
     """(set_key, component) of every set that links with another, by the smallest set_key."""
     per_set = described_rows.filter("set_key is not null").groupBy("set_key").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     total = described_rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    shared = every = saved(shared_signatures(docs, text, ranges or max(1, round(total / RANGE)), hot, coarse))
+    shared = every = saved(shared_signatures(docs, text, described_rows.filter("set_key is not null").select("set_key"), ranges or max(1, round(total / RANGE)), hot, coarse, tag_bits))
     large = saved(shared.groupBy("bucket").count().filter(F.col("count") > bucket).select("bucket"))
     known = big = None
     if not large.isEmpty():

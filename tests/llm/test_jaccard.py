@@ -127,6 +127,27 @@ def test_hot_signatures_that_share_half_their_bits():
     assert 999 in of(two) and set(range(two % 100, two % 100 + 4)) <= of(two) and set(range(one % 100, one % 100 + 4)) <= of(one)
 
 
+@pytest.mark.parametrize("how", [{"tag_bits": 3}, {"tag_bits": 3, "hot": 2, "bucket": 3, "ranges": 50, "coarse": 4}])
+def test_sets_whose_tags_agree_lose_no_link(spark, how):
+    rows = corpus(6)
+    got = jaccard.link(spark.createDataFrame(rows, SCHEMA).repartition(7), **how).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_packed_rows_are_small_and_whole(whole):
+    """Three signatures of each of 4,000 sets in one range: 8.7 bytes each, or 12.7, when who and keys went as they are."""
+    rnd = np.random.default_rng(8)
+    keys, owner = rnd.integers(0, 1 << 32, 4000), np.repeat(rnd.permutation(4000), 3)
+    sigs = rnd.integers(0, 1 << 63, 12000).astype(np.uint64)
+    (packed,) = jaccard._pack(sigs, owner, keys, 1, 64, whole)
+    row = packed.to_pylist()[0]
+    assert sum(len(row[c]) for c in ("sigs", "who", "keys")) / 12000 < (9.5 if whole else 5.5)
+    of, who = jaccard._owners(row["who"], row["keys"])
+    got = np.frombuffer(row["sigs"], np.uint64 if whole else np.uint32).tolist()
+    assert sorted(zip(got, of[who].tolist(), strict=True)) == sorted(zip((sigs if whole else sigs.astype(np.uint32)).tolist(), keys[owner].tolist(), strict=True))
+
+
 def test_kept_rows_are_one_choice_and_no_column_is_touched(spark):
     from pyspark.sql import functions as F
 
