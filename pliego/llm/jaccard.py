@@ -17,7 +17,8 @@ suggests, and never misses a pair that links:
 Words, shingles and sets go by 64-bit hashes: two that share one count as equal. Sets with equal
 shingles are one node, so copies never meet in pairs. Signatures travel packed, a row for each task
 and range of signatures; one that many sets of a task share is collapsed there to a single forwarded
-entry. Beyond ``COARSE`` ranges they are dealt in two exchanges, so that a packed row keeps its size.
+entry. Beyond ``ONCE`` times ``COARSE`` ranges they are dealt in two exchanges, to ``COARSE`` of them first,
+so that a packed row keeps its size.
 A packed row names its sets by ``TAG_BITS`` bits of their hashes, in order and as differences. A tag of
 several sets stands for all of them, and they form a bucket of their own, so that no pair is lost by it.
 
@@ -61,8 +62,8 @@ BAND_RATIO, SLACK = 1.5, 1.15
 FLUSH, RANGE = 1_500_000, 1_500_000
 #: Sets of one task that share a signature before they are collapsed to one forwarded entry.
 HOT = 64
-#: Ranges that one exchange deals to; beyond it, a second follows.
-COARSE = 2048
+#: Ranges that the first of two exchanges deals to. The second costs more disk than smaller rows do, up to ONCE times as many.
+COARSE, ONCE = 2048, 4
 #: Bits of a set's hash that travel with its signatures, 32 at most.
 TAG_BITS = 32
 #: Sets of a bucket that one task compares, about.
@@ -293,7 +294,7 @@ class Held:
 
 def shared_signatures(docs: DataFrame, text: str, keys: DataFrame, ranges: int, hot: int = HOT, coarse: int = COARSE, tag_bits: int = TAG_BITS) -> DataFrame:
     """(bucket, set_key): which sets share which signatures. keys(set_key) holds every set's, or repeats them."""
-    two = ranges > coarse
+    two = ranges > ONCE * coarse
     mask = (1 << tag_bits) - 1
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

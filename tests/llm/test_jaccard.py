@@ -148,6 +148,12 @@ def test_packed_rows_are_small_and_whole(whole):
     assert sorted(zip(got, of[who].tolist(), strict=True)) == sorted(zip((sigs if whole else sigs.astype(np.uint32)).tolist(), keys[owner].tolist(), strict=True))
 
 
+def test_a_second_exchange_follows_only_where_rows_grow_too_small(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "set_key long, text string")
+    passes = lambda ranges: jaccard.shared_signatures(docs, "text", docs.select("set_key"), ranges, coarse=4)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert [passes(r) for r in (4, 5, 16, 17)] == [1, 1, 1, 2]
+
+
 def test_kept_rows_are_one_choice_and_no_column_is_touched(spark):
     from pyspark.sql import functions as F
 
