@@ -11,3 +11,12 @@ def test_tasks_of_the_joint_resolution_grow_with_the_rows(spark, monkeypatch):
     found = __spark_entry__.queries()["resolve_joint"](spark, SF)
     rows = found.rdd.glom().map(len).collect()
     assert len(rows) >= 12 and max(rows) < 1500 and sum(rows) == found.count()
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_price_evidence_is_read_once_a_text(spark):
+    for name in ("price_basis", "price_cross_check"):
+        assert "regexp_" not in plan(__spark_entry__.queries()[name](spark, SF))
