@@ -12,9 +12,9 @@ from pliego.operators import catalog, extract, price, report, resolve
 from pliego.plans import catalog_queries as cq
 from pliego.plans.adapters import ENTITY, table
 from pliego.plans.report_queries import _base, _l1, _prices, _rounded, _sql, _universe, r
-from pliego.scratch import scratch_dir
+from pliego.scratch import saved, scratch_dir
 from pliego.sources import readers
-from pliego.store import Catalog, variants
+from pliego.store import Catalog, offer_variants
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -170,11 +170,12 @@ def _store(spark, sf_dir) -> Catalog:
     """The reported parts in a catalog of two batches, the second of which repeats a part of the first."""
     found = _reports(spark, sf_dir).filter("node_id is not null")
     records = found.select(F.concat(F.lit("part|"), F.col("record_key").cast("string")).alias("record_key"), "category", "identity", "descriptive", "raw_text", "seq", "node_id")
-    nested = cq.offers(spark, sf_dir).groupBy(F.col("p_partkey").alias("seq")).agg(F.collect_list(F.struct(F.col("pos").cast("string").alias("offer_id"), F.col("offer").alias("text"), "awarded", F.col("l_extendedprice").alias("unit_price"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("total_clp"), F.lit("CLP").alias("currency"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"))).alias("offers"))
-    items = records.join(nested, "seq").select(F.lit("T").alias("tender_id"), F.col("seq").cast("string").alias("item_id"), "node_id", "offers")
+    records = saved(records, "records")
+    offers = cq.offers(spark, sf_dir).join(records.select("seq", "node_id"), F.col("p_partkey") == F.col("seq"))
+    offers = offers.select(F.lit("T").alias("tender_id"), F.col("seq").cast("string").alias("item_id"), "node_id", F.col("pos").cast("string").alias("offer_id"), F.col("offer").alias("text"), "awarded", F.col("l_extendedprice").alias("unit_price"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("total_clp"), F.lit("CLP").alias("currency"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), "seq")
     store = Catalog(spark, f"{scratch_dir(spark)}/catalog-{uuid.uuid4().hex}")
-    store.merge(0, records.filter("seq % 2 = 0"), variants(items.filter("cast(item_id as int) % 2 = 0")))
-    store.merge(1, records.filter("seq % 2 = 1 or seq % 4 = 0"), variants(items.filter("cast(item_id as int) % 2 = 1")))
+    store.merge(0, records.filter("seq % 2 = 0"), offer_variants(offers.filter("seq % 2 = 0")))
+    store.merge(1, records.filter("seq % 2 = 1 or seq % 4 = 0"), offer_variants(offers.filter("seq % 2 = 1")))
     return store
 
 

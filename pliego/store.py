@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pliego.model import MAX_BROADCAST_ROWS
 from pliego.operators import catalog
+from pliego.scratch import saved
 
 _MAP = "map<string,string>"
 SCHEMAS = {
@@ -59,22 +61,33 @@ class Catalog:
         else:
             before = -1
         known, history = self.load("nodes", before), self.load("links", before)
-        fresh = catalog.nodes(records)
+        fresh = saved(catalog.nodes(records), "fresh")
         more = fresh.select("node_id", F.col("records").alias("more"))
         old = known.join(more, "node_id", "left").withColumn("records", F.col("records") + F.coalesce("more", F.lit(0))).drop("more", "parent_id")
         new = fresh.join(known.select("node_id"), "node_id", "left_anti")
         touched = new.select("category").distinct()
-        every = old.unionByName(new)
+        every = saved(old.unionByName(new), "every")
         replanned = catalog.parents(every.join(touched, "category", "left_semi"))
-        same = known.select("node_id", "parent_id").join(old.drop("parent_id"), "node_id").join(touched, "category", "left_anti")
+        same = known.select("node_id", "parent_id").join(every, "node_id").join(touched, "category", "left_anti")
         self._write("nodes", number, replanned.unionByName(same))
-        if products is not None:
-            self._write("products", number, catalog.upsert(self.load("products", before), products, ["product_id"]))
-        else:
-            self._write("products", number, self.load("products", before))
+        self._merge_products(number, before, products)
         links = records.select("record_key", catalog.node_id(catalog.identity_key(F.col("category"), F.col("identity"))).alias("target_id"), "raw_text", "seq")
         self._write("links", number, catalog.link(history, links))
 
+    def _merge_products(self, number: int, before: int, products: DataFrame | None) -> None:
+        """Variants of a version: the batch's are written first, then those of the version before that they don't replace.
+
+        Only ids are shuffled to find what is replaced; the earlier rows pass by that list as they are.
+        """
+        if products is None:
+            return self._write("products", number, self.load("products", before))
+        self._write("products", number, products)
+        if before >= 0:
+            kept, ids = self.load("products", before), self.load("products", number).select("product_id")
+            gone = saved(kept.select("product_id").join(ids, "product_id", "left_semi").distinct(), "replaced")
+            gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_ROWS else gone.hint("merge")
+            self._write("products", number, kept.join(gone, "product_id", "left_anti"), "append")
+
     def without(self, category: str) -> int:
         """A new version without a category's nodes, their variants, and the links to them; its number."""
         number = self.last() + 1
@@ -92,13 +105,18 @@ class Catalog:
         nodes = self.load("nodes")
         return n("categories", nodes.select("category").distinct()).unionByName(n("nodes", nodes)).unionByName(n("products", self.load("products"))).unionByName(n("links", self.load("links")))
 
-    def _write(self, table: str, number: int, rows: DataFrame) -> None:
+    def _write(self, table: str, number: int, rows: DataFrame, mode: str = "overwrite") -> None:
         columns = [c.split(" ")[0] for c in SCHEMAS[table].replace(_MAP, "map").split(", ")]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/{table}/v={number}")
+        rows.select(*columns).write.mode(mode).parquet(f"{self.path}/{table}/v={number}")
 
 
 def variants(items: DataFrame) -> DataFrame:
     """A variant for each offer of items(tender_id, item_id, node_id, offers) that has an id, and the key of its own record; offers without one are counted, not written."""
-    rows = items.filter(F.col("node_id").isNotNull()).select("tender_id", "item_id", F.col("node_id").alias("generic_id"), F.explode("offers").alias("o")).filter("o.offer_id is not null")
-    key = catalog.record_key(F.lit("mp_oferta"), F.col("tender_id"), F.concat_ws(":", "item_id", "o.offer_id"))
-    return rows.select(catalog.product_id(key).alias("product_id"), key.alias("record_key"), "generic_id", "tender_id", "item_id", F.col("o.offer_id").alias("offer_id"), "o.unit_price", "o.total_clp", "o.quantity", F.coalesce("o.awarded", F.lit(False)).alias("awarded"), "o.currency", "o.date", F.col("o.text").alias("supplier_text"))
+    return offer_variants(items.select("tender_id", "item_id", "node_id", F.explode("offers").alias("o")).select("tender_id", "item_id", "node_id", "o.*"))
+
+
+def offer_variants(offers: DataFrame) -> DataFrame:
+    """The same of a row for each offer(tender_id, item_id, node_id, offer_id, text, awarded, unit_price, quantity, total_clp, currency, date): nothing has to be nested."""
+    rows = offers.filter(F.col("node_id").isNotNull() & F.col("offer_id").isNotNull())
+    key = catalog.record_key(F.lit("mp_oferta"), F.col("tender_id"), F.concat_ws(":", "item_id", "offer_id"))
+    return rows.select(catalog.product_id(key).alias("product_id"), key.alias("record_key"), F.col("node_id").alias("generic_id"), "tender_id", "item_id", "offer_id", "unit_price", "total_clp", "quantity", F.coalesce("awarded", F.lit(False)).alias("awarded"), "currency", "date", F.col("text").alias("supplier_text"))
