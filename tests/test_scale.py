@@ -2,6 +2,8 @@
 
 import __spark_entry__
 from pliego import scratch
+from pliego.operators import resolve
+from pliego.plans.catalog_queries import REGISTER
 from pliego.store import Catalog, offer_variants
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +48,11 @@ def test_variants_of_a_later_batch_leave_the_earlier_rows_where_they_are(spark,
     store.merge(2, records, batch(("d", 5.0)))
     assert held() == [("a", 1.0), ("b", 3.0), ("c", 4.0), ("d", 5.0)]
     assert [x for x in written if x[0] == "products"][:3] == [("products", 0, "overwrite"), ("products", 1, "overwrite"), ("products", 1, "append")]
+
+
+def test_many_texts_are_not_sent_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "MAX_BROADCAST_ROWS", 2)
+    rows = spark.createDataFrame([(i, f"red ring N°{i}") for i in range(5)] + [(5, None)], "id long, t string")
+    many, few = (resolve.prepared(rows.filter(f"id < {n} or t is null"), "t", "t", REGISTER) for n in (5, 2))
+    assert "strategy=merge" in plan(many) and "strategy=broadcast" in plan(few)
+    assert many.count() == 6 and many.filter("t_cls.category = 'ring'").count() == 5
